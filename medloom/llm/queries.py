@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from medloom.llm.encode import encode_corpus, token_count
 from medloom.llm.packing import fill_report, pack
+from medloom.llm.survivors import judged_values, resolve, survivors
 from medloom.session import table
 
 CAPACITY = 2048
@@ -29,6 +30,25 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return fill_report(p8_containers(spark, d).withColumnRenamed("n_tokens", "size"), CAPACITY)
 
 
-QUERIES = {f.__name__: f for f in (p7_ids, p8_containers, p8_fill)}
+def _records(spark: SparkSession, d: str):
+    spans = table(spark, d, "ner_spans", "span_id", "doc_id", "text", "category", "confidence", "source", "span_start", "span_end", "entity_type", "extracted_at")
+    return resolve(spans, table(spark, d, "ner_categories"), table(spark, d, "ner_sources"))
+
+
+def p1_survivors(spark: SparkSession, d: str) -> DataFrame:
+    """The surviving record of every mention with two or more records."""
+    return survivors(*_records(spark, d)).where("records > 1")
+
+
+def p1_values(spark: SparkSession, d: str) -> DataFrame:
+    """Every text of every mention with its posterior; all judged true are kept."""
+    return judged_values(*_records(spark, d))[0]
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_survivors(spark, d).select("first_span_id", "best_span_id")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p1_values, p7_ids, p8_containers, p8_fill)}
 
 SQL: dict[str, str] = {}
