@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from medloom.llm.encode import encode_corpus, token_count
 from medloom.llm.packing import fill_report, pack
 from medloom.llm.survivors import judged_values, resolve, survivors
+from medloom.llm.truncation import judge, source_report
 from medloom.session import table
 
 CAPACITY = 2048
@@ -49,6 +50,19 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_survivors(spark, d).select("first_span_id", "best_span_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p1_values, p7_ids, p8_containers, p8_fill)}
+def p9_judged(spark: SparkSession, d: str) -> DataFrame:
+    """Every text with its log odds of being cut and the limit it ends at."""
+    return judge(table(spark, d, "documents", "doc_id", "text", "source", "n_chars"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_judged(spark, d).where("is_cut").select("doc_id")
+
+
+def p9_sources(spark: SparkSession, d: str) -> DataFrame:
+    return source_report(p9_judged(spark, d))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p1_values, p7_ids, p8_containers, p8_fill, p9_found, p9_judged, p9_sources)}
 
 SQL: dict[str, str] = {}
