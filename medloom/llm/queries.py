@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medloom.llm.encode import encode_corpus, token_count
+from medloom.llm.lookalikes import canonical_fields, vocabulary
 from medloom.llm.packing import fill_report, pack
 from medloom.llm.survivors import judged_values, resolve, survivors
 from medloom.llm.truncation import judge, source_report
@@ -50,6 +51,23 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_survivors(spark, d).select("first_span_id", "best_span_id")
 
 
+def lexicon_words(spark: SparkSession, d: str) -> list[str]:
+    genes, terms = table(spark, d, "gene_lexicon"), table(spark, d, "term_lexicon")
+    return vocabulary([genes.select(c) for c in ("symbol", "full_name", "aliases")] + [terms.select(c) for c in ("preferred_label", "abbreviation", "synonyms")])
+
+
+def p2_canonical(spark: SparkSession, d: str) -> DataFrame:
+    """Every text that changes, with its consistent form."""
+    words = lexicon_words(spark, d)
+    genes = table(spark, d, "gene_candidates", "candidate_id", "matched_text", "context_text")
+    entities = table(spark, d, "ner_entities", "entity_id", "text")
+    return canonical_fields(genes, "gene_candidates", "candidate_id", ["matched_text", "context_text"], words).unionByName(canonical_fields(entities, "ner_entities", "entity_id", ["text"], words))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return p2_canonical(spark, d).select("table_name", "row_id", "field_name")
+
+
 def p9_judged(spark: SparkSession, d: str) -> DataFrame:
     """Every text with its log odds of being cut and the limit it ends at."""
     return judge(table(spark, d, "documents", "doc_id", "text", "source", "n_chars"))
@@ -63,6 +81,6 @@ def p9_sources(spark: SparkSession, d: str) -> DataFrame:
     return source_report(p9_judged(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p1_values, p7_ids, p8_containers, p8_fill, p9_found, p9_judged, p9_sources)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p1_values, p2_found, p2_canonical, p7_ids, p8_containers, p8_fill, p9_found, p9_judged, p9_sources)}
 
 SQL: dict[str, str] = {}
