@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from medloom.llm.encode import encode_corpus, token_count
 from medloom.llm.lookalikes import canonical_fields, vocabulary
+from medloom.llm.mapping import NONE, forms, map_rows, map_values
 from medloom.llm.packing import fill_report, pack
 from medloom.llm.survivors import judged_values, resolve, survivors
 from medloom.llm.truncation import judge, source_report
-from medloom.session import table
+from medloom.session import materialize, table
 
 CAPACITY = 2048
 
@@ -68,6 +69,42 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return p2_canonical(spark, d).select("table_name", "row_id", "field_name")
 
 
+def _surface(spark: SparkSession, d: str) -> DataFrame:
+    genes, terms = table(spark, d, "gene_lexicon"), table(spark, d, "term_lexicon")
+    gene = lambda form, rank: genes.select(F.col("symbol").alias("entry_key"), form.alias("form"), F.lit(rank).alias("form_rank"))
+    term = lambda form, rank: terms.select(F.col("term_id").alias("entry_key"), form.alias("form"), F.lit(rank).alias("form_rank"))
+    return materialize(forms([
+        ("gene", gene(F.col("symbol"), 0).unionByName(gene(F.col("full_name"), 1)).unionByName(gene(F.explode("aliases"), 2))),
+        ("term", term(F.col("preferred_label"), 0).unionByName(term(F.explode("synonyms"), 1)).unionByName(term(F.col("abbreviation"), 2))),
+    ]))
+
+
+def p4_mapped(spark: SparkSession, d: str) -> DataFrame:
+    """The entry of every typed gene and term, with its score; NONE where there is none."""
+    genes = table(spark, d, "gene_candidates", "candidate_id", "matched_text", "hgnc_symbol")
+    symbols = table(spark, d, "gene_lexicon").select(F.col("symbol").alias("hgnc_symbol")).distinct()
+    genes = genes.join(symbols, "hgnc_symbol", "left_anti")
+    entities = table(spark, d, "ner_entities", "entity_id", "normalized").where("normalized IS NOT NULL")
+    labels = table(spark, d, "term_lexicon").select(F.col("preferred_label").alias("normalized")).distinct()
+    entities = entities.join(labels, "normalized", "left_anti")
+    gene_rows = genes.select(F.col("candidate_id").alias("row_id"), F.lit("gene").alias("kind"), F.posexplode(F.array("hgnc_symbol", "matched_text")).alias("place", "value"))
+    term_rows = entities.select(F.col("entity_id").alias("row_id"), F.lit("term").alias("kind"), F.lit(0).alias("place"), F.col("normalized").alias("value"))
+    mapped = materialize(map_values(gene_rows.unionByName(term_rows), _surface(spark, d)))
+    return (
+        map_rows(gene_rows, mapped).withColumn("table_name", F.lit("gene_candidates"))
+        .unionByName(map_rows(term_rows, mapped).withColumn("table_name", F.lit("ner_entities")))
+    )
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4_mapped(spark, d).select("table_name", "row_id", "entry_key")
+
+
+def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """How many rows of each table have no entry."""
+    return p4_mapped(spark, d).groupBy("table_name").agg(F.count("*").alias("typed"), F.count_if(F.col("entry_key") == NONE).alias("unmatched"))
+
+
 def p9_judged(spark: SparkSession, d: str) -> DataFrame:
     """Every text with its log odds of being cut and the limit it ends at."""
     return judge(table(spark, d, "documents", "doc_id", "text", "source", "n_chars"))
@@ -81,6 +118,6 @@ def p9_sources(spark: SparkSession, d: str) -> DataFrame:
     return source_report(p9_judged(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p1_values, p2_found, p2_canonical, p7_ids, p8_containers, p8_fill, p9_found, p9_judged, p9_sources)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p1_values, p2_found, p2_canonical, p4_found, p4_mapped, p4_unmatched, p7_ids, p8_containers, p8_fill, p9_found, p9_judged, p9_sources)}
 
 SQL: dict[str, str] = {}
