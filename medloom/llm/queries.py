@@ -9,6 +9,7 @@ from medloom.llm.encode import encode_corpus, token_count
 from medloom.llm.lookalikes import canonical_fields, vocabulary
 from medloom.llm.mapping import NONE, forms, map_rows, map_values
 from medloom.llm.packing import fill_report, pack
+from medloom.llm.scanned import noise_lines, paragraphs
 from medloom.llm.survivors import judged_values, resolve, survivors
 from medloom.llm.truncation import judge, source_report
 from medloom.session import materialize, table
@@ -105,6 +106,16 @@ def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return p4_mapped(spark, d).groupBy("table_name").agg(F.count("*").alias("typed"), F.count_if(F.col("entry_key") == NONE).alias("unmatched"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    found = noise_lines(table(spark, d, "pipeline_state", "state_id", "full_text_with_pages"), "state_id", "full_text_with_pages")
+    return found.select(F.col("doc").alias("state_id"), F.col("no").cast("int").alias("line_no"), "noise_kind")
+
+
+def p5_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    """The readable paragraphs of every text."""
+    return paragraphs(table(spark, d, "pipeline_state", "state_id", "full_text_with_pages"), "state_id", "full_text_with_pages").withColumnRenamed("doc", "state_id")
+
+
 def p9_judged(spark: SparkSession, d: str) -> DataFrame:
     """Every text with its log odds of being cut and the limit it ends at."""
     return judge(table(spark, d, "documents", "doc_id", "text", "source", "n_chars"))
@@ -118,6 +129,6 @@ def p9_sources(spark: SparkSession, d: str) -> DataFrame:
     return source_report(p9_judged(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p1_values, p2_found, p2_canonical, p4_found, p4_mapped, p4_unmatched, p7_ids, p8_containers, p8_fill, p9_found, p9_judged, p9_sources)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p1_values, p2_found, p2_canonical, p4_found, p4_mapped, p4_unmatched, p5_found, p5_paragraphs, p7_ids, p8_containers, p8_fill, p9_found, p9_judged, p9_sources)}
 
 SQL: dict[str, str] = {}
