@@ -38,7 +38,7 @@ def pr04_long_form(spark, d):
     return _spans(spark, d).select("span_id", X.long_form(F.col("text")).alias("long_form"))
 
 
-@query(r"""SELECT candidate_id, lower(trim(regexp_replace(regexp_replace(translate(matched_text, '‐‑‒–—−', '------'), ' *- *', '-', 'g'), '[\s ]+', ' ', 'g'))) AS dedup_key FROM gene_candidates""".replace(" ]", X.NBSP + "]"))
+@query(r"""SELECT candidate_id, lower(trim(regexp_replace(regexp_replace(translate(matched_text, '‐‑‒–—−', '------'), ' *- *', '-', 'g'), '[\s ]+', ' ', 'g'), ' ')) AS dedup_key FROM gene_candidates""".replace(" ]", X.NBSP + "]"))
 def pr05_dedup_key(spark, d):
     return table(spark, d, "gene_candidates").select("candidate_id", X.dedup_key(F.col("matched_text")).alias("dedup_key"))
 
