@@ -53,21 +53,17 @@ def skeleton(word: Column) -> Column:
 def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc, no, line, page, top, bottom): the lines that are neither blank nor markers.
 
-    ``top`` and ``bottom`` are 1 or 2 for the first and last two lines of a page, else 0.
+    ``top`` and ``bottom`` count the page's lines from both ends, from 1.  A
+    text's lines stay in its row until they are exploded: nothing is shuffled.
     """
-    raw = docs.select(F.col(key).alias("doc"), F.posexplode(F.split(text, "\n")).alias("i", "x"))
-    line = F.rtrim("x", F.lit(" \r\t"))
-    some = raw.select("doc", (F.col("i") + 1).alias("no"), line.alias("line")).where(F.ltrim(line) != "")
-    order = W.partitionBy("doc").orderBy("no")
-    marker = F.when(F.col("line").startswith("--- Page "), F.regexp_extract("line", MARKER, 1).try_cast("int"))
-    marked = some.withColumn("m", marker)
-    is_m = lambda n: F.lag(F.col("m").isNotNull(), n).over(order)
-    placed = marked.select(
-        "doc", "no", "line", "m", F.last("m", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0)).alias("page"),
-        F.when(is_m(1), 1).when(is_m(2), 2).otherwise(0).alias("top"),
-        F.when(F.coalesce(is_m(-1), F.lit(True)), 1).when(F.coalesce(is_m(-2), F.lit(True)), 2).otherwise(0).alias("bottom"),
-    )
-    return placed.where("m IS NULL").drop("m")
+    # markers cut the text into pages; a page's first line number follows from the line ends before it
+    parts = F.split(text, r"(?m)^--- Page \d+ ---[ \t\r]*$")
+    cut = docs.select(F.col(key).alias("doc"), parts.alias("parts"), F.transform(parts, lambda p: F.length(p) - F.length(F.replace(p, F.lit("\n"), F.lit("")))).alias("ends"))
+    paged = cut.select("doc", F.posexplode(F.transform("parts", lambda p, k: F.struct(p.alias("p"), F.aggregate(F.slice("ends", 1, k), F.lit(0), lambda s, e: s + e).alias("before")))).alias("page", "x"))
+    numbered = F.transform(F.split("x.p", "\n"), lambda l, i: F.struct((F.col("x.before") + i + 1).alias("no"), F.rtrim(l, F.lit(" \r\t")).alias("line")))
+    some = paged.select("doc", "page", F.filter(numbered, lambda l: F.ltrim(l["line"]) != "").alias("some"))
+    each = some.select("doc", "page", F.size("some").alias("n"), F.posexplode("some").alias("i", "l"))
+    return each.select("doc", "l.no", "l.line", F.when(F.col("page") > 0, F.col("page")).alias("page"), (F.col("i") + 1).alias("top"), (F.col("n") - F.col("i")).alias("bottom"))
 
 
 def masked(line: Column) -> Column:
@@ -78,23 +74,35 @@ def masked(line: Column) -> Column:
 
 
 def furniture(placed: DataFrame) -> DataFrame:
-    """(doc, no) of the running headers, footers and page numbers."""
+    """(doc, no) of the running headers, footers and page numbers.
+
+    The masked key is worked out for lines at edges only; whether the corpus
+    has such a line inside pages is looked up by a plainer key of each writing.
+    """
+    outer = (F.col("top") == 1) | (F.col("bottom") == 1)
+    edge = (F.col("top") <= 2) | (F.col("bottom") <= 2)
+    plain = F.translate(F.lower("line"), "0123456789 ", "##########")
+    on_pages = placed.where("page IS NOT NULL").withColumn("plain", plain)
+    inside = on_pages.where(~edge).select(F.explode(F.array(F.xxhash64("plain"), F.xxhash64(F.right("plain", F.lit(12)), F.lit(1)))).alias("h")).groupBy("h").agg(F.count("*").alias("inside"))
     key = masked(F.col("line"))
-    tail = F.right(key, F.lit(12))
-    edge = F.col("page").isNotNull() & ((F.col("top") > 0) | (F.col("bottom") > 0))
-    keyed = placed.select("doc", "no", "page", "top", "bottom", edge.alias("edge"), F.xxhash64(key).alias("key"), F.xxhash64(tail).alias("tail"), F.when(F.length("line") < 12, F.col("line")).alias("short"))
-    keyed = materialize(keyed.where("page IS NOT NULL"))
-    share = lambda k: keyed.groupBy(k).agg(F.count_if(F.col("edge")).alias("edges"), F.count_if(~F.col("edge")).alias("inside"), F.count_if((F.col("top") == 1) | (F.col("bottom") == 1)).alias("outer"))
-    by_key, by_tail = share("key"), share("tail").select("tail", F.col("edges").alias("t_edges"), F.col("inside").alias("t_inside"), F.col("outer").alias("t_outer"))
-    at_edge = keyed.where("edge")
+    keyed = on_pages.where(edge).withColumn("key", key).select(
+        "doc", "no", "page", "top", outer.alias("outer"), F.xxhash64("key").alias("key"), F.xxhash64(F.right("key", F.lit(12))).alias("tail"),
+        F.xxhash64("plain").alias("h_key"), F.xxhash64(F.right("plain", F.lit(12)), F.lit(1)).alias("h_tail"), F.when(F.length("line") < 12, F.col("line")).alias("short"),
+    )
+    keyed = materialize(keyed)
+
+    def share(k: str, p: str) -> DataFrame:
+        counts = keyed.groupBy(k).agg(F.count("*").alias(f"{p}edges"), F.count_if(F.col("outer")).alias(f"{p}outermost"))
+        writings = keyed.select(k, F.col(f"h_{k}").alias("h")).distinct().join(inside, "h").groupBy(k).agg(F.sum("inside").alias(f"{p}inside"))
+        return counts.join(writings, k, "left").fillna(0, [f"{p}inside"])
+
     lone = F.translate(F.regexp_replace("short", r"[\s]", ""), "lI!Oo", "11100")
-    at_edge = at_edge.withColumn("lone", F.when(F.col("short").rlike(r"^\s*[\dlI!Oo]*\d[\dlI!Oo]*\s*$") & ((F.col("top") == 1) | (F.col("bottom") == 1)), lone.try_cast("int")))
+    at_edge = keyed.withColumn("lone", F.when(F.col("short").rlike(r"^\s*[\dlI!Oo]*\d[\dlI!Oo]*\s*$") & F.col("outer"), lone.try_cast("int")))
     here = W.partitionBy("doc", "key")
-    again = F.size(F.collect_set("page").over(here))
     counted = F.count("lone").over(W.partitionBy("doc", F.col("lone") - F.col("page"), F.col("top") == 1))
-    flagged = at_edge.withColumn("again", again).withColumn("counted", F.when(F.col("lone").isNotNull(), counted).otherwise(0)).join(by_key, "key").join(by_tail, "tail")
+    flagged = at_edge.withColumn("again", F.size(F.collect_set("page").over(here))).withColumn("counted", F.when(F.col("lone").isNotNull(), counted).otherwise(0)).join(share("key", ""), "key").join(share("tail", "t_"), "tail")
     never = (F.col("edges") >= 10) & (F.col("inside") * 50 <= F.col("edges"))
-    ending = (F.col("t_edges") >= 10) & (F.col("t_inside") * 50 <= F.col("t_edges")) & (F.col("t_outer") * 2 >= F.col("t_edges")) & ((F.col("top") == 1) | (F.col("bottom") == 1))
+    ending = (F.col("t_edges") >= 10) & (F.col("t_inside") * 50 <= F.col("t_edges")) & (F.col("t_outermost") * 2 >= F.col("t_edges")) & F.col("outer")
     repeated = (F.col("again") >= 2) & (F.col("inside") * 5 <= F.col("edges")) & F.col("lone").isNull()
     return flagged.where(never | ending | repeated | (F.col("counted") >= 2)).select("doc", "no")
 
@@ -123,12 +131,20 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     return raw.groupBy(F.lower("t").alias("form")).agg(F.sum("n").alias("n"))
 
 
-def pair_counts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """(a, b, m): how often the wanted pairs of words stand side by side in the cleaned texts."""
+def neighbours(docs: DataFrame, text: str, wanted: DataFrame, contested: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((a, b, m), (w, l, m)) in one pass over the cleaned texts.
+
+    How often the wanted pairs stand side by side, and what stands to the left
+    of the contested words.
+    """
     tokens = docs.select(_tokens(F.lower(text)).alias("t"))
-    both = F.transform(F.slice("t", 1, F.greatest(F.size("t") - 1, F.lit(0))), lambda x, i: F.concat(x, F.lit(" "), F.get(F.col("t"), i + 1)))
-    keys = _small(wanted.select(F.concat_ws(" ", "a", "b").alias("pair"), "a", "b").distinct())
-    return tokens.select(F.explode(both).alias("pair")).join(keys, "pair").groupBy("a", "b").agg(F.count("*").alias("m"))
+    both = F.transform(F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0))), lambda x, i: F.concat(F.get(F.col("t"), i), F.lit(" "), x))
+    keys = _small(wanted.select(F.concat_ws(" ", "a", "b").alias("pair"), F.lit(True).alias("asked")).distinct())
+    words = _small(contested.select("w", F.lit(True).alias("of")).distinct())
+    each = tokens.select(F.explode(both).alias("pair")).withColumn("w", F.substring_index("pair", " ", -1)).join(keys, "pair", "left").join(words, "w", "left").where("asked OR of")
+    seen = materialize(each.groupBy("pair", "w", "asked", "of").agg(F.count("*").alias("m")))
+    left = F.substring_index("pair", " ", 1)
+    return seen.where("asked").select(left.alias("a"), F.col("w").alias("b"), "m"), seen.where("of").select("w", left.alias("l"), "m")
 
 
 _WORD = r"^[\p{L}\d!|'’-]*\p{L}[\p{L}\d!|'’-]*$"
@@ -164,14 +180,23 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= FORMS else df
 
 
-def body(placed: DataFrame, drop: DataFrame) -> DataFrame:
-    """The lines that aren't furniture, each with the next one's number and first word."""
-    order = W.partitionBy("doc").orderBy("no")
-    kept = placed.join(drop, ["doc", "no"], "left_anti").select("doc", "no", "line", "page")
-    first = F.regexp_extract(F.ltrim(F.lead("line").over(order)), r"^(\S+)", 1)
-    broken = F.col("line").rlike(rf"[\p{{L}}\d!]{BREAK}$")
-    headed = kept.withColumn("next_no", F.lead("no").over(order)).withColumn("next_first", first).withColumn("head", F.when(broken & F.col("next_first").rlike(r"^[\p{L}\d!(]"), F.substring_index(F.regexp_replace("line", rf"{BREAK}$", ""), " ", -1)))
-    return headed.withColumn("cont", F.lag(F.col("head").isNotNull(), 1, False).over(order))
+def body(docs: DataFrame, key: str, text: str, drop: DataFrame) -> DataFrame:
+    """The lines that aren't furniture: (doc, no, line, next_no, next_first, head, cont).
+
+    ``head`` is the first part of a word that the line breaks, ``cont`` tells
+    that the line before breaks one.  A text's lines stay in its row until they
+    are exploded; its few furniture lines are joined to it as one array.
+    """
+    gone = _small(drop.groupBy("doc").agg(F.collect_list("no").alias("gone")))
+    joined = docs.select(F.col(key).alias("doc"), F.col(text).alias("x")).join(gone, "doc", "left")
+    numbered = F.transform(F.split("x", "\n"), lambda l, i: F.struct((i + 1).alias("no"), F.rtrim(l, F.lit(" \r\t")).alias("line")))
+    keep = lambda l: (F.ltrim(l["line"]) != "") & ~(l["line"].startswith("--- Page ") & l["line"].rlike(MARKER)) & ~F.coalesce(F.array_contains("gone", l["no"]), F.lit(False))
+    kept = joined.select("doc", F.filter(numbered, keep).alias("b"))
+    placed = kept.select("doc", F.explode(F.transform("b", lambda l, i: F.struct(l["no"].alias("no"), l["line"].alias("line"), F.get("b", i + 1)["no"].alias("next_no"), F.ltrim(F.get("b", i + 1)["line"]).alias("next"), F.get("b", i - 1)["line"].alias("prev")))).alias("l")).select("doc", "l.*")
+    ends = lambda line: line.rlike(rf"[\p{{L}}\d!]{BREAK}$")
+    starts = lambda line: line.rlike(r"^[\p{L}\d!(]")
+    head = F.when(ends(F.col("line")) & starts(F.col("next")), F.substring_index(F.expr("substring(line, 1, length(line) - 1)"), " ", -1))
+    return placed.select("doc", "no", "line", "next_no", F.substring_index("next", " ", 1).alias("next_first"), head.alias("head"), F.coalesce(ends(F.col("prev")) & starts(F.ltrim("line")), F.lit(False)).alias("cont"))
 
 
 def breaks(rows: DataFrame, forms: DataFrame) -> DataFrame:
@@ -189,52 +214,45 @@ def breaks(rows: DataFrame, forms: DataFrame) -> DataFrame:
     return found.select("doc", "no", "next_no", "sign", "head", "tail", "joined", "linked", F.when(belongs, F.col("best_linked")).otherwise(F.col("best_joined")).alias("best"), belongs.alias("belongs"))
 
 
-def analysed(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(furniture, body lines, misread forms with their right form, broken words) of cleaned texts."""
-    placed = lines(docs, key, text)
-    drop = materialize(furniture(placed))
+def analysed(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(furniture, misread forms with their right form, broken words) of cleaned texts."""
+    drop = materialize(furniture(lines(docs, key, text)))
     counts = materialize(word_counts(docs, text))
     forms = materialize(judged_forms(counts))
-    rows = body(placed, drop)
-    ends = materialize(breaks(rows, forms))
+    broken = body(docs, key, text, drop).where("head IS NOT NULL")
+    ends = materialize(breaks(broken, forms))
     # rare forms, and broken words that are known neither joined nor linked, may hold a lost space
     good = counts.join(forms.where("is_misread").select("form"), "form", "left_anti")
     unknown = ends.where("best IS NULL").select(F.explode(F.array("joined", "linked")).alias("form")).distinct().join(counts, "form", "left_anti").withColumn("n", F.lit(0).cast("bigint"))
     parts = materialize(split_candidates(good.unionByName(unknown.select("form", "n")), good))
-    contested = forms.where("contested").select("form", "best", "n")
-    seen = materialize(pair_counts(docs, text, parts.select("a", "b")))
+    contested = forms.where("contested").select("form", "best")
+    ask = materialize(contested.select(F.col("form").alias("w"), F.col("form").alias("owner"), F.lit(True).alias("own")).unionByName(contested.select(F.col("best").alias("w"), F.col("form").alias("owner"), F.lit(False).alias("own"))))
+    seen, near = neighbours(docs, text, parts.select("a", "b"), ask)
     spaces = parts.join(seen, ["a", "b"]).where(F.col("m") >= F.greatest(F.lit(2), 2 * F.col("n")))
     spaces = materialize(spaces.groupBy("form").agg(F.max_by(F.concat_ws(" ", "a", "b"), F.struct("m", "a")).alias("best")))
-    own = _own_words(docs, text, contested)
-    misread = forms.where("is_misread").join(own, "form", "left_anti").select("form", "best")
+    misread = forms.where("is_misread").join(_own_words(ask, near), "form", "left_anti").select("form", "best")
     bad = misread.unionByName(spaces.join(counts, "form", "left_semi")).groupBy("form").agg(F.min("best").alias("best"))
     parted = spaces.join(counts, "form", "left_anti")
     whole = parted.select(F.col("form").alias("joined"), F.col("best").alias("pj")), parted.select(F.col("form").alias("linked"), F.col("best").alias("pl"))
     ends = ends.join(whole[0], "joined", "left").join(whole[1], "linked", "left")
     ends = ends.withColumn("spaced", F.col("best").isNull() & (F.col("pj").isNotNull() | F.col("pl").isNotNull()))
     ends = ends.withColumn("belongs", F.col("belongs") | (F.col("spaced") & F.col("pj").isNull())).withColumn("best", F.coalesce("best", "pj", "pl")).drop("pj", "pl")
-    return drop, rows, bad, materialize(ends)
+    return drop, bad, materialize(ends)
 
 
-def _own_words(docs: DataFrame, text: str, contested: DataFrame) -> DataFrame:
-    """Contested forms whose neighbours rarely come with the form they could stand for."""
-    contested = materialize(contested)
-    if not contested.count():
-        return contested.select("form")
-    ask = contested.select(F.col("form").alias("w"), F.col("form").alias("of"), F.lit(True).alias("own")).unionByName(contested.select(F.col("best").alias("w"), F.col("form").alias("of"), F.lit(False).alias("own")))
-    tokens = docs.select(_tokens(F.lower(text)).alias("t"))
-    pairs = F.transform(F.col("t"), lambda x, i: F.struct(F.get(F.col("t"), i - 1).alias("l"), x.alias("w")))
-    near = tokens.select(F.explode(pairs).alias("p")).select("p.*").join(_small(ask.select("w").distinct()), "w", "left_semi").groupBy("w", "l").agg(F.count("*").alias("m"))
+def _own_words(ask: DataFrame, near: DataFrame) -> DataFrame:
+    """Contested forms whose left neighbours rarely come with the form they could stand for."""
     with_ = near.join(ask, "w")
-    shared = with_.groupBy("of", "l").agg(F.sum(F.when(F.col("own"), F.col("m"))).alias("mine"), F.sum(F.when(~F.col("own"), F.col("m"))).alias("theirs")).where("mine IS NOT NULL")
-    support = shared.groupBy("of").agg((F.sum(F.when(F.col("theirs") >= F.col("mine"), F.col("mine")).otherwise(0)) / F.sum("mine")).alias("support"))
-    return support.where("support < 0.5").select(F.col("of").alias("form"))
+    shared = with_.groupBy("owner", "l").agg(F.sum(F.when(F.col("own"), F.col("m"))).alias("mine"), F.sum(F.when(~F.col("own"), F.col("m"))).alias("theirs")).where("mine IS NOT NULL")
+    support = shared.groupBy("owner").agg((F.sum(F.when(F.col("theirs") >= F.col("mine"), F.col("mine")).otherwise(0)) / F.sum("mine")).alias("support"))
+    return support.where("support < 0.5").select(F.col("owner").alias("form"))
 
 
 def noise_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc, no, noise_kind) of every furniture, hyphen and misread line."""
-    docs = docs.where(F.col(text).isNotNull()).select(key, cleaned(F.col(text)).alias(text))
-    drop, rows, bad, ends = analysed(docs, key, text)
+    docs = materialize(docs.where(F.col(text).isNotNull()).select(key, cleaned(F.col(text)).alias(text)))
+    drop, bad, ends = analysed(docs, key, text)
+    rows = body(docs, key, text, drop)
     # a broken word is judged whole; its parts aren't words
     tokens = F.split(F.ltrim("line"), r"\s+")
     inner = F.when(F.col("head").isNotNull(), F.slice(tokens, 1, F.size(tokens) - 1)).otherwise(tokens)
@@ -261,8 +279,8 @@ def paragraphs(docs: DataFrame, key: str, text: str) -> DataFrame:
     a sentence well before the usual width.
     """
     docs = docs.select(key, text).where(F.col(text).isNotNull())
-    drop, _, bad, ends = analysed(docs.select(key, cleaned(F.col(text)).alias(text)), key, text)
-    rows = body(lines(docs, key, text), drop)
+    drop, bad, ends = analysed(materialize(docs.select(key, cleaned(F.col(text)).alias(text))), key, text)
+    rows = lines(docs, key, text).join(drop, ["doc", "no"], "left_anti").join(ends.select("doc", "no", "head"), ["doc", "no"], "left")
     bad = _small(bad)
     order = W.partitionBy("doc").orderBy("no")
     width = F.percentile_approx(F.length("line"), 0.9).over(W.partitionBy("doc"))
