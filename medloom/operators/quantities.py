@@ -189,8 +189,10 @@ def read_drug(text: str | None, ahead: str | None, before: str | None, around: s
     cands = readings(t)
     others = []
     if len(cands) > 1:
-        mine = {c[1] for c in cands}
-        others = [r for x in _DRUGS.findall(tidy(around)) for r in readings(x) if r[1] not in mine]
+        found = _DRUGS.findall(tidy(around))
+        if t in found:  # the amount itself
+            found.remove(t)
+        others = [r for x in found for r in readings(x)]
     return pick(cands, others)
 
 

@@ -164,9 +164,9 @@ def jn22_body_references(spark, d):
 # --- aggregations -------------------------------------------------------------------------
 
 
-@query(r"SELECT sf, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, upper(unnest(regexp_extract_all(text, '\b([A-Za-z]*[A-Z][A-Za-z0-9]+)\b', 1))) AS sf FROM documents) GROUP BY sf")
+@query(r"SELECT sf, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, upper(unnest(regexp_extract_all(text, '(?:^|[^A-Za-z0-9])([A-Za-z]*[A-Z][A-Za-z0-9]+)', 1))) AS sf FROM documents) GROUP BY sf")
 def ag01_token_frequency(spark, d):
-    t = table(spark, d, "documents", "doc_id", "text").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"\b([A-Za-z]*[A-Z][A-Za-z0-9]+)\b"), 1)).alias("t")).select("doc_id", F.upper("t").alias("sf"))
+    t = table(spark, d, "documents", "doc_id", "text").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"(?:^|[^A-Za-z0-9])([A-Za-z]*[A-Z][A-Za-z0-9]+)"), 1)).alias("t")).select("doc_id", F.upper("t").alias("sf"))
     return t.groupBy("sf").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("docs"))
 
 
