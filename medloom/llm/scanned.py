@@ -83,13 +83,15 @@ def furniture(placed: DataFrame) -> DataFrame:
     edge = (F.col("top") <= 2) | (F.col("bottom") <= 2)
     plain = F.translate(F.lower("line"), "0123456789 ", "##########")
     on_pages = placed.where("page IS NOT NULL").withColumn("plain", plain)
-    inside = on_pages.where(~edge).select(F.explode(F.array(F.xxhash64("plain"), F.xxhash64(F.right("plain", F.lit(12)), F.lit(1)))).alias("h")).groupBy("h").agg(F.count("*").alias("inside"))
     key = masked(F.col("line"))
     keyed = on_pages.where(edge).withColumn("key", key).select(
         "doc", "no", "page", "top", outer.alias("outer"), F.xxhash64("key").alias("key"), F.xxhash64(F.right("key", F.lit(12))).alias("tail"),
         F.xxhash64("plain").alias("h_key"), F.xxhash64(F.right("plain", F.lit(12)), F.lit(1)).alias("h_tail"), F.when(F.length("line") < 12, F.col("line")).alias("short"),
     )
     keyed = materialize(keyed)
+    asked = _small(keyed.select(F.explode(F.array("h_key", "h_tail")).alias("h")).distinct())
+    inside = on_pages.where(~edge).select(F.explode(F.array(F.xxhash64("plain"), F.xxhash64(F.right("plain", F.lit(12)), F.lit(1)))).alias("h"))
+    inside = materialize(inside.join(asked, "h", "left_semi").groupBy("h").agg(F.count("*").alias("inside")))
 
     def share(k: str, p: str) -> DataFrame:
         counts = keyed.groupBy(k).agg(F.count("*").alias(f"{p}edges"), F.count_if(F.col("outer")).alias(f"{p}outermost"))
@@ -116,12 +118,14 @@ CODE = r"^(?=.*[A-Z].*[A-Z\d])[A-Z\d/-]+$"
 
 def cleaned(text: Column) -> Column:
     """A text without the punctuation round its words; lines stay."""
-    return F.regexp_replace(text, _TRIM, "")
+    # each pattern begins with a character class, so most places are passed at once
+    opened = F.regexp_replace(text, r"(\s)[(\[\"“‘„*]+", "$1")
+    return F.regexp_replace(opened, r"[.,;:)\]\"”’'?*]+(\s|$)", "$1")
 
 
 def _tokens(text: Column) -> Column:
     """Words of a cleaned text; those broken at a line's end hold a control character."""
-    return F.split(F.regexp_replace(text, rf"(?<=\S){BREAK}[ \t\r]*\n\s*", "\x01"), r"\s+")
+    return F.split(F.regexp_replace(text, rf"{BREAK}[ \t\r]*\n\s*", "\x01"), r"\s+")
 
 
 def word_counts(docs: DataFrame, text: str) -> DataFrame:
@@ -138,13 +142,12 @@ def neighbours(docs: DataFrame, text: str, wanted: DataFrame, contested: DataFra
     of the contested words.
     """
     tokens = docs.select(_tokens(F.lower(text)).alias("t"))
-    both = F.transform(F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0))), lambda x, i: F.concat(F.get(F.col("t"), i), F.lit(" "), x))
-    keys = _small(wanted.select(F.concat_ws(" ", "a", "b").alias("pair"), F.lit(True).alias("asked")).distinct())
-    words = _small(contested.select("w", F.lit(True).alias("of")).distinct())
-    each = tokens.select(F.explode(both).alias("pair")).withColumn("w", F.substring_index("pair", " ", -1)).join(keys, "pair", "left").join(words, "w", "left").where("asked OR of")
-    seen = materialize(each.groupBy("pair", "w", "asked", "of").agg(F.count("*").alias("m")))
-    left = F.substring_index("pair", " ", 1)
-    return seen.where("asked").select(left.alias("a"), F.col("w").alias("b"), "m"), seen.where("of").select("w", left.alias("l"), "m")
+    each = tokens.select(F.explode(F.arrays_zip(F.col("t").alias("x"), F.slice("t", 2, 1 << 30).alias("y"))).alias("p")).select(F.col("p.x").alias("a"), F.col("p.y").alias("b"))
+    keys = _small(wanted.select("a", "b", F.lit(True).alias("asked")).distinct())
+    words = _small(contested.select(F.col("w").alias("b"), F.lit(True).alias("of")).distinct())
+    each = each.where("b IS NOT NULL").join(words, "b", "left").join(keys, ["a", "b"], "left").where("asked OR of")
+    seen = materialize(each.groupBy("a", "b", "asked", "of").agg(F.count("*").alias("m")))
+    return seen.where("asked").select("a", "b", "m"), seen.where("of").select(F.col("b").alias("w"), F.col("a").alias("l"), "m")
 
 
 _WORD = r"^[\p{L}\d!|'’-]*\p{L}[\p{L}\d!|'’-]*$"
@@ -192,11 +195,12 @@ def body(docs: DataFrame, key: str, text: str, drop: DataFrame) -> DataFrame:
     numbered = F.transform(F.split("x", "\n"), lambda l, i: F.struct((i + 1).alias("no"), F.rtrim(l, F.lit(" \r\t")).alias("line")))
     keep = lambda l: (F.ltrim(l["line"]) != "") & ~(l["line"].startswith("--- Page ") & l["line"].rlike(MARKER)) & ~F.coalesce(F.array_contains("gone", l["no"]), F.lit(False))
     kept = joined.select("doc", F.filter(numbered, keep).alias("b"))
-    placed = kept.select("doc", F.explode(F.transform("b", lambda l, i: F.struct(l["no"].alias("no"), l["line"].alias("line"), F.get("b", i + 1)["no"].alias("next_no"), F.ltrim(F.get("b", i + 1)["line"]).alias("next"), F.get("b", i - 1)["line"].alias("prev")))).alias("l")).select("doc", "l.*")
-    ends = lambda line: line.rlike(rf"[\p{{L}}\d!]{BREAK}$")
+    placed = kept.select("doc", F.explode(F.transform("b", lambda l, i: F.struct(l["no"].alias("no"), l["line"].alias("line"), F.get("b", i + 1)["no"].alias("next_no"), F.substring_index(F.ltrim(F.get("b", i + 1)["line"]), " ", 1).alias("next"), F.right(F.get("b", i - 1)["line"], F.lit(2)).alias("prev")))).alias("l")).select("doc", "l.*")
+    # few lines end in a break sign: the others never meet the regular expression
+    ends = lambda line: F.right(line, F.lit(1)).isin("-", SHY, NOT_SIGN, chr(0x2010)) & line.rlike(rf"[\p{{L}}\d!]{BREAK}$")
     starts = lambda line: line.rlike(r"^[\p{L}\d!(]")
     head = F.when(ends(F.col("line")) & starts(F.col("next")), F.substring_index(F.expr("substring(line, 1, length(line) - 1)"), " ", -1))
-    return placed.select("doc", "no", "line", "next_no", F.substring_index("next", " ", 1).alias("next_first"), head.alias("head"), F.coalesce(ends(F.col("prev")) & starts(F.ltrim("line")), F.lit(False)).alias("cont"))
+    return placed.select("doc", "no", "line", "next_no", F.col("next").alias("next_first"), head.alias("head"), F.coalesce(ends(F.col("prev")) & starts(F.ltrim("line")), F.lit(False)).alias("cont"))
 
 
 def breaks(rows: DataFrame, forms: DataFrame) -> DataFrame:
