@@ -73,25 +73,53 @@ def masked(line: Column) -> Column:
     return F.regexp_replace(skeleton(number), r"\s+", "")
 
 
-def furniture(placed: DataFrame) -> DataFrame:
+def edges(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc, no, line, page, top, bottom): the first and last two lines of every page.
+
+    They are cut off the page's text from both ends; no other line is taken apart.
+    """
+    newlines = lambda c: F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit("")))
+    parts = F.split(text, r"(?m)^--- Page \d+ ---[ \t\r]*$")
+    cut = docs.select(F.col(key).alias("doc"), parts.alias("parts"), F.transform(parts, newlines).alias("ends"))
+    paged = cut.select("doc", F.posexplode(F.transform("parts", lambda p, k: F.struct(p.alias("p"), F.aggregate(F.slice("ends", 1, k), F.lit(0), lambda s, e: s + e).alias("before")))).alias("page", "x")).where("page > 0")
+    p = paged.select("doc", "page", F.col("x.p").alias("p"), F.col("x.before").alias("before")).withColumn("q", F.reverse("p"))
+    rx = r"^(\s*)([^\n]+)(?:(\n\s*)([^\n]+))?"
+    g = lambda c, i: F.regexp_extract(c, rx, i)
+    p = p.select("doc", "page", "before", (F.col("before") + newlines(F.col("p"))).alias("last"), *[g("p", i).alias(f"t{i}") for i in range(1, 5)], *[g("q", i).alias(f"b{i}") for i in range(1, 5)]).where("t2 <> ''")
+    no = p.select(
+        "doc", "page", F.rtrim("t2", F.lit(" \r\t")).alias("lt1"), F.rtrim("t4", F.lit(" \r\t")).alias("lt2"), F.rtrim(F.reverse("b2"), F.lit(" \r\t")).alias("lb1"), F.rtrim(F.reverse("b4"), F.lit(" \r\t")).alias("lb2"),
+        (F.col("before") + newlines(F.col("t1")) + 1).alias("t1"), (F.col("last") - newlines(F.col("b1")) + 1).alias("b1"), newlines(F.col("t3")).alias("td"), newlines(F.col("b3")).alias("bd"),
+    ).withColumn("n2", F.when(F.col("lt2") != "", F.col("t1") + F.col("td"))).withColumn("m2", F.when(F.col("lb2") != "", F.col("b1") - F.col("bd")))
+    from_end = lambda n: F.when(n == F.col("b1"), 1).when(n == F.col("m2"), 2).otherwise(9)
+    row = lambda n, line, top, bottom: F.struct(n.alias("no"), line.alias("line"), top.alias("top"), bottom.alias("bottom"))
+    after = F.coalesce("n2", "t1")
+    four = F.array(
+        row(F.col("t1"), F.col("lt1"), F.lit(1), from_end(F.col("t1"))), F.when(F.col("n2").isNotNull(), row(F.col("n2"), F.col("lt2"), F.lit(2), from_end(F.col("n2")))),
+        F.when(F.col("m2") > after, row(F.col("m2"), F.col("lb2"), F.lit(9), F.lit(2))), F.when(F.col("b1") > after, row(F.col("b1"), F.col("lb1"), F.lit(9), F.lit(1))),
+    )
+    return no.select("doc", "page", F.explode(four).alias("e")).where("e IS NOT NULL").select("doc", "e.no", "e.line", "page", "e.top", "e.bottom")
+
+
+def furniture(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc, no) of the running headers, footers and page numbers.
 
     The masked key is worked out for lines at edges only; whether the corpus
     has such a line inside pages is looked up by a plainer key of each writing.
     """
     outer = (F.col("top") == 1) | (F.col("bottom") == 1)
-    edge = (F.col("top") <= 2) | (F.col("bottom") <= 2)
-    plain = F.translate(F.lower("line"), "0123456789 ", "##########")
-    on_pages = placed.where("page IS NOT NULL").withColumn("plain", plain)
-    key = masked(F.col("line"))
-    keyed = on_pages.where(edge).withColumn("key", key).select(
+    plain = F.translate(F.lower(F.trim("line")), "0123456789 ", "##########")
+    h_key, h_tail = F.xxhash64("plain"), F.xxhash64(F.right("plain", F.lit(12)), F.lit(1))
+    mask = masked(F.col("line"))
+    keyed = edges(docs, key, text).withColumn("plain", plain).withColumn("key", mask).select(
         "doc", "no", "page", "top", outer.alias("outer"), F.xxhash64("key").alias("key"), F.xxhash64(F.right("key", F.lit(12))).alias("tail"),
-        F.xxhash64("plain").alias("h_key"), F.xxhash64(F.right("plain", F.lit(12)), F.lit(1)).alias("h_tail"), F.when(F.length("line") < 12, F.col("line")).alias("short"),
+        h_key.alias("h_key"), h_tail.alias("h_tail"), F.when(F.length("line") < 12, F.col("line")).alias("short"),
     )
     keyed = materialize(keyed)
-    asked = _small(keyed.select(F.explode(F.array("h_key", "h_tail")).alias("h")).distinct())
-    inside = on_pages.where(~edge).select(F.explode(F.array(F.xxhash64("plain"), F.xxhash64(F.right("plain", F.lit(12)), F.lit(1)))).alias("h"))
-    inside = materialize(inside.join(asked, "h", "left_semi").groupBy("h").agg(F.count("*").alias("inside")))
+    # all lines are counted, then those at edges taken off
+    at_edges = materialize(keyed.select(F.explode(F.array("h_key", "h_tail")).alias("h")).groupBy("h").agg(F.count("*").alias("e")))
+    asked = _small(at_edges)
+    every = docs.select(F.explode(F.split(text, r"[ \t\r]*\n")).alias("line")).where("line <> ''").select(plain.alias("plain")).select(F.explode(F.array(h_key, h_tail)).alias("h"))
+    inside = materialize(every.join(asked, "h").groupBy("h").agg((F.count("*") - F.max("e")).alias("inside")))
 
     def share(k: str, p: str) -> DataFrame:
         counts = keyed.groupBy(k).agg(F.count("*").alias(f"{p}edges"), F.count_if(F.col("outer")).alias(f"{p}outermost"))
@@ -183,30 +211,33 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= FORMS else df
 
 
-def body(docs: DataFrame, key: str, text: str, drop: DataFrame) -> DataFrame:
-    """The lines that aren't furniture: (doc, no, line, next_no, next_first, head, cont).
+def _per_text(docs: DataFrame, key: str, text: str, **numbers: DataFrame) -> DataFrame:
+    """(doc, l, ...): each text's lines as one array, and arrays of line numbers of (doc, no) frames."""
+    out = docs.select(F.col(key).alias("doc"), F.split(F.regexp_replace(text, r"[ \t\r]+\n", "\n"), "\n").alias("l"))
+    for name, df in numbers.items():
+        out = out.join(_small(df.groupBy("doc").agg(F.collect_set("no").alias(name))), "doc", "left").withColumn(name, F.coalesce(name, F.array().cast("array<int>")))
+    return out
+
 
-    ``head`` is the first part of a word that the line breaks, ``cont`` tells
-    that the line before breaks one.  A text's lines stay in its row until they
-    are exploded; its few furniture lines are joined to it as one array.
+def broken_lines(docs: DataFrame, key: str, text: str, drop: DataFrame) -> DataFrame:
+    """(doc, no, line, next_no, next_first, head): lines that end inside a word, with the next line that is text.
+
+    Only a line's first word, and its last one where it ends in a break sign,
+    are put in order by a window over its text's lines.
     """
-    gone = _small(drop.groupBy("doc").agg(F.collect_list("no").alias("gone")))
-    joined = docs.select(F.col(key).alias("doc"), F.col(text).alias("x")).join(gone, "doc", "left")
-    numbered = F.transform(F.split("x", "\n"), lambda l, i: F.struct((i + 1).alias("no"), F.rtrim(l, F.lit(" \r\t")).alias("line")))
-    keep = lambda l: (F.ltrim(l["line"]) != "") & ~(l["line"].startswith("--- Page ") & l["line"].rlike(MARKER)) & ~F.coalesce(F.array_contains("gone", l["no"]), F.lit(False))
-    kept = joined.select("doc", F.filter(numbered, keep).alias("b"))
-    placed = kept.select("doc", F.explode(F.transform("b", lambda l, i: F.struct(l["no"].alias("no"), l["line"].alias("line"), F.get("b", i + 1)["no"].alias("next_no"), F.substring_index(F.ltrim(F.get("b", i + 1)["line"]), " ", 1).alias("next"), F.right(F.get("b", i - 1)["line"], F.lit(2)).alias("prev")))).alias("l")).select("doc", "l.*")
-    # few lines end in a break sign: the others never meet the regular expression
-    ends = lambda line: F.right(line, F.lit(1)).isin("-", SHY, NOT_SIGN, chr(0x2010)) & line.rlike(rf"[\p{{L}}\d!]{BREAK}$")
-    starts = lambda line: line.rlike(r"^[\p{L}\d!(]")
-    head = F.when(ends(F.col("line")) & starts(F.col("next")), F.substring_index(F.expr("substring(line, 1, length(line) - 1)"), " ", -1))
-    return placed.select("doc", "no", "line", "next_no", F.col("next").alias("next_first"), head.alias("head"), F.coalesce(ends(F.col("prev")) & starts(F.ltrim("line")), F.lit(False)).alias("cont"))
+    rows = docs.select(F.col(key).alias("doc"), F.posexplode(F.split(text, r"[ \t\r]*\n")).alias("i", "line")).where((F.trim("line") != "") & ~(F.col("line").startswith("--- Page ") & F.col("line").rlike(MARKER)))
+    ends = F.right("line", F.lit(1)).isin("-", SHY, NOT_SIGN, chr(0x2010)) & F.col("line").rlike(rf"[\p{{L}}\d!]{BREAK}$")
+    slim = rows.select("doc", (F.col("i") + 1).alias("no"), F.substring_index(F.ltrim("line"), " ", 1).alias("first"), F.when(ends, F.substring_index("line", " ", -1)).alias("line"))
+    slim = slim.join(_small(drop), ["doc", "no"], "left_anti")
+    order = W.partitionBy("doc").orderBy("no")
+    led = slim.withColumn("next_no", F.lead("no").over(order)).withColumn("next_first", F.lead("first").over(order)).where("line IS NOT NULL AND next_no IS NOT NULL")
+    return led.select("doc", "no", "line", "next_no", "next_first", F.expr("substring(line, 1, length(line) - 1)").alias("head")).where(F.col("next_first").rlike(r"^[\p{L}\d!(]"))
 
 
 def breaks(rows: DataFrame, forms: DataFrame) -> DataFrame:
     """Lines that end inside a word: (doc, no, next_no, sign, head, tail, joined, linked, best, belongs)."""
     sign = F.regexp_extract("line", rf"({BREAK})$", 1)
-    ends = rows.where("head IS NOT NULL AND next_no IS NOT NULL").select("doc", "no", "next_no", sign.alias("sign"), F.lower(F.regexp_replace("head", _TRIM, "")).alias("head"), F.lower(F.regexp_replace("next_first", _TRIM, "")).alias("tail"))
+    ends = rows.select("doc", "no", "next_no", sign.alias("sign"), F.lower(F.regexp_replace("head", _TRIM, "")).alias("head"), F.lower(F.regexp_replace("next_first", _TRIM, "")).alias("tail"))
     ends = ends.withColumn("joined", F.concat("head", "tail")).withColumn("linked", F.concat("head", F.lit("-"), "tail"))
     by = forms.groupBy("skel").agg(F.max("n_all").alias("n"), F.max_by("best", "n").alias("best"))
     by_j = by.select(F.col("skel").alias("sj"), F.col("n").alias("nj"), F.col("best").alias("best_joined"))
@@ -220,11 +251,10 @@ def breaks(rows: DataFrame, forms: DataFrame) -> DataFrame:
 
 def analysed(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(furniture, misread forms with their right form, broken words) of cleaned texts."""
-    drop = materialize(furniture(lines(docs, key, text)))
+    drop = materialize(furniture(docs, key, text))
     counts = materialize(word_counts(docs, text))
     forms = materialize(judged_forms(counts))
-    broken = body(docs, key, text, drop).where("head IS NOT NULL")
-    ends = materialize(breaks(broken, forms))
+    ends = materialize(breaks(broken_lines(docs, key, text, drop), forms))
     # rare forms, and broken words that are known neither joined nor linked, may hold a lost space
     good = counts.join(forms.where("is_misread").select("form"), "form", "left_anti")
     unknown = ends.where("best IS NULL").select(F.explode(F.array("joined", "linked")).alias("form")).distinct().join(counts, "form", "left_anti").withColumn("n", F.lit(0).cast("bigint"))
@@ -256,12 +286,14 @@ def noise_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc, no, noise_kind) of every furniture, hyphen and misread line."""
     docs = materialize(docs.where(F.col(text).isNotNull()).select(key, cleaned(F.col(text)).alias(text)))
     drop, bad, ends = analysed(docs, key, text)
-    rows = body(docs, key, text, drop)
     # a broken word is judged whole; its parts aren't words
-    tokens = F.split(F.ltrim("line"), r"\s+")
-    inner = F.when(F.col("head").isNotNull(), F.slice(tokens, 1, F.size(tokens) - 1)).otherwise(tokens)
-    inner = F.when(F.col("cont"), F.slice(inner, F.lit(2), F.greatest(F.size(inner) - 1, F.lit(0)))).otherwise(inner)
-    words = rows.select("doc", "no", F.explode(inner).alias("t")).where(F.length("t") > 2)
+    heads, conts = ends.select("doc", "no"), ends.select("doc", F.col("next_no").alias("no"))
+    rows = _per_text(docs, key, text, gone=drop, heads=heads, conts=conts)
+    rows = rows.select("doc", "gone", "heads", "conts", F.posexplode("l").alias("i", "line")).where("line <> ''").withColumn("no", F.col("i") + 1)
+    tokens = F.split(F.trim("line"), r"\s+")
+    last = F.size(tokens) - F.array_contains("heads", F.col("no")).cast("int")
+    skip = F.array_contains("conts", F.col("no")).cast("int")
+    words = rows.where(~F.array_contains("gone", F.col("no"))).select("doc", "no", F.explode(F.slice(tokens, skip + 1, F.greatest(last - skip, F.lit(0)))).alias("t")).where(F.length("t") > 2)
     forms = _small(bad.select("form"))
     misread = words.select("doc", "no", F.lower("t").alias("form"), "t").join(forms, "form", "left_semi").where(~F.col("t").rlike(CODE)).select("doc", "no")
     # which side of a broken word differs from the form it stands for

@@ -6,7 +6,9 @@ SENTENCES = ["The committee recommends yearly audiometry for everybody with prov
 def text(doc, pages=4):
     out, title = [], f"Report number {doc % 7} of the study: final report"
     for p in range(pages):
-        body = [s + "." for s in SENTENCES] + ["Week 4", "78"]
+        body = [s + "." for s in SENTENCES] + ["Week 4", "78", "n = 5"]
+        k = (3 * doc + 2 * p) % len(body)
+        body = body[k:] + body[:k]
         lines = [title if p % 2 else f"Acta of Medicine {doc}(3)", *body, f"- {doc + p} -"]
         out.append(f"--- Page {p + 1} ---\n\n" + "\n".join(lines) + "\n")
     return "\n".join(out)
