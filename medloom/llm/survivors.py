@@ -109,19 +109,20 @@ def _run_edges(runs: DataFrame) -> DataFrame:
 
 def mentions(records: DataFrame) -> DataFrame:
     """The records with ``first_span_id``, the least span_id of their mention."""
-    usable = records.where("doc_id IS NOT NULL AND grp IS NOT NULL")
-    ranged, loose = usable.where("start IS NOT NULL"), usable.where("start IS NULL")
+    # grouping needs few columns; the records themselves are read once more at the end
+    text = F.when(F.col("norm").isNotNull(), F.xxhash64("norm")).alias("text_id")
+    slim = materialize(records.where("doc_id IS NOT NULL AND grp IS NOT NULL").select("span_id", "doc_id", "grp", "start", "end", text))
+    ranged, loose = slim.where("start IS NOT NULL"), slim.where("start IS NULL")
     runs = materialize(_runs(ranged))
-    key = ["doc_id", "grp", "norm"]
-    classes = loose.where("norm IS NOT NULL").groupBy(*key).agg(F.min("span_id").alias("node"))
-    place = ["doc_id", "grp", "len", "start"]
-    noded = ranged.withColumn("len", F.col("end") - F.col("start")).join(runs, place).withColumnRenamed("run", "node").drop("len")
-    by_text = noded.where("norm IS NOT NULL").groupBy(*key, "node").agg(F.lit(1).alias("one"))
-    text_edges = by_text.join(classes.withColumnRenamed("node", "class"), key).select(F.col("node").alias("a"), F.col("class").alias("b"))
-    labels = connected_components(_run_edges(runs).union(text_edges))
-    loose_noded = loose.join(classes, key, "left").withColumn("node", F.coalesce("node", "span_id"))
-    rest = records.where("doc_id IS NULL OR grp IS NULL").withColumn("node", F.col("span_id"))
-    every = noded.unionByName(loose_noded).unionByName(rest)
+    key, place = ["doc_id", "grp", "text_id"], ["doc_id", "grp", "len", "start"]
+    classes = materialize(loose.where("text_id IS NOT NULL").groupBy(*key).agg(F.min("span_id").alias("class")))
+    length = (F.col("end") - F.col("start")).alias("len")
+    # copies of a range with one text meet once
+    by_text = ranged.where("text_id IS NOT NULL").select(*key, length, "start").distinct().join(classes, key).join(runs, place)
+    edges = _run_edges(runs).union(by_text.select(F.col("run").alias("a"), F.col("class").alias("b")))
+    labels = connected_components(edges)
+    every = records.withColumn("len", length).withColumn("text_id", F.when(F.col("start").isNull() & F.col("norm").isNotNull(), F.xxhash64("norm")))
+    every = every.join(runs, place, "left").join(classes, key, "left").withColumn("node", F.coalesce("run", "class", "span_id")).drop("run", "class", "len", "text_id")
     # a node's name is its least span_id, so the least node of a component is its first record
     return every.join(labels, "node", "left").withColumn("first_span_id", F.coalesce("component", "node")).drop("node", "component")
 
