@@ -51,8 +51,8 @@ def typed_mentions(df: DataFrame, key: str, text: str, patterns: dict[str, str]
     return df.select(key, F.explode(all_matches(F.col(text), patterns or PATTERNS)).alias("m")).select(key, "m.*")
 
 
-def definitions(text: Column) -> Column:
-    """Array of (style, long_form, short_form): parenthetical, ``SF = long form`` and spoken definitions."""
+def definitions(text: Column, styles: tuple[str, ...] = ("parenthetical", "equals", "spoken")) -> Column:
+    """Array of (style, long_form, short_form): parenthetical, ``SF = long form`` and spoken definitions; only the asked styles are searched."""
     word = r"[A-Za-z][a-z]+"
     paren = rf"((?:{word} ){{1,6}}{word}) \(([A-Z][A-Za-z0-9-]{{1,9}})\)"
     equals = rf"\b([A-Z][A-Z0-9-]{{1,9}}) ?[=:] ?((?:{word} ){{1,6}}{word})"
@@ -61,7 +61,8 @@ def definitions(text: Column) -> Column:
     def pairs(style: str, rx: str, long_at: int, short_at: int) -> Column:
         return F.transform(F.arrays_zip(F.regexp_extract_all(text, F.lit(rx), long_at).alias("l"), F.regexp_extract_all(text, F.lit(rx), short_at).alias("s")), lambda p: F.struct(F.lit(style).alias("style"), p["l"].alias("long_form"), p["s"].alias("short_form")))
 
-    return F.concat(pairs("parenthetical", paren, 1, 2), pairs("equals", equals, 2, 1), pairs("spoken", spoken, 2, 1))
+    found = {"parenthetical": (paren, 1, 2), "equals": (equals, 2, 1), "spoken": (spoken, 2, 1)}
+    return F.concat(*[pairs(style, *found[style]) for style in styles])
 
 
 def initial_words(short: Column, before: Column) -> Column:

@@ -184,7 +184,7 @@ m AS (SELECT sf, count(*) AS mentions, count(DISTINCT doc_id) AS docs FROM k GRO
 SELECT sf AS short_form, lf AS long_form, mentions, docs FROM m JOIN b USING (sf) WHERE r = 1""")
 def ag03_short_form_dedup(spark, d):
     """Flagship: defined short forms of all documents, de-pluralised, with the best long form."""
-    x = planted(spark, d).select("doc_id", F.explode(definitions(F.col("text"))).alias("x")).select("doc_id", "x.*").where("style = 'parenthetical'")
+    x = planted(spark, d).select("doc_id", F.explode(definitions(F.col("text"), ("parenthetical",))).alias("x")).select("doc_id", "x.*").where("style = 'parenthetical'")
     x = x.select("doc_id", D.singular(F.col("short_form")).alias("short_form"), "long_form", (F.lit(180) + F.least(F.length("long_form"), F.lit(50))).alias("score"))
     return D.merge_by_key(x, ["short_form"], F.col("score"), ["long_form"], "doc_id")
 
@@ -328,7 +328,7 @@ def ag30_grouping_sets(spark, d):
 
 @query(f"""WITH d AS ({_DEF}), c AS (SELECT sf, lf, count(*) AS n FROM d GROUP BY ALL) SELECT sf, lf, n FROM (SELECT *, row_number() OVER (PARTITION BY sf ORDER BY n DESC, lf) AS r FROM c) WHERE r <= 2""")
 def wn01_top_long_forms(spark, d):
-    x = planted(spark, d).select(F.explode(definitions(F.col("text"))).alias("x")).select("x.*").where("style = 'parenthetical'").groupBy(F.col("short_form").alias("sf"), F.col("long_form").alias("lf")).agg(F.count("*").alias("n"))
+    x = planted(spark, d).select(F.explode(definitions(F.col("text"), ("parenthetical",))).alias("x")).select("x.*").where("style = 'parenthetical'").groupBy(F.col("short_form").alias("sf"), F.col("long_form").alias("lf")).agg(F.count("*").alias("n"))
     return x.withColumn("r", F.row_number().over(W.partitionBy("sf").orderBy(F.desc("n"), "lf"))).where("r <= 2").drop("r")
 
 
