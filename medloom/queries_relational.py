@@ -124,6 +124,14 @@ def jn15_shared_context(spark, d):
     return k.join(r, "g").groupBy("candidate_id").agg(F.min("rep").alias("shares_with"))
 
 
+@query("""WITH k AS (SELECT DISTINCT candidate_id, unnest(list_transform(range(greatest(length(context_text) - 19, 0)), lambda i: substring(context_text, i + 1, 20))) AS g FROM gene_candidates WHERE context_text IS NOT NULL),
+r AS (SELECT g, min(candidate_id) AS rep FROM k GROUP BY g HAVING count(*) > 1) SELECT DISTINCT candidate_id, rep AS shares_with FROM k JOIN r USING (g) WHERE candidate_id <> rep""")
+def jn15_context_links(spark, d):
+    """Links of the contexts that share any 20 characters: each with the first context of every shared stretch, which connects all pairs without listing them."""
+    c = table(spark, d, "gene_candidates", "candidate_id", "context_text")
+    return D.shared_stretches(c, "candidate_id", "context_text", 20).select("candidate_id", F.col("rep").alias("shares_with"))
+
+
 _GOLD = "SELECT DISTINCT doc_id, lower(text) AS k FROM ner_entities WHERE text IS NOT NULL AND backend = 'GeneticEnricher'"
 _SYS = "SELECT DISTINCT doc_id, lower(text) AS k FROM ner_entities WHERE text IS NOT NULL AND backend = 'BiomedicalNER'"
 _COUNTS = f"SELECT coalesce(s.doc_id, g.doc_id) AS doc_id, count_if(s.k IS NOT NULL AND g.k IS NOT NULL) AS tp, count_if(g.k IS NULL) AS fp, count_if(s.k IS NULL) AS fn FROM ({_SYS}) s FULL OUTER JOIN ({_GOLD}) g ON s.doc_id = g.doc_id AND s.k = g.k GROUP BY 1"

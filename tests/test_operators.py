@@ -81,3 +81,24 @@ def test_fingerprint_ignores_order_and_partitions(spark):
 
 def test_presets():
     assert chosen(["ag15_x", "ex01_y"], "usage") == ["ag15_x"]
+
+
+def test_shared_stretches_link_every_overlap_of_20(spark):
+    rng = random.Random(5)
+    stretches = ["".join(rng.choice("abcdef ") for _ in range(rng.randrange(17, 24))) for _ in range(12)]
+    texts = [(i, rng.choice("XYZ") * i + rng.choice(stretches) + "|" * (i % 2) + rng.choice(stretches)) for i in range(40)] + [(90, None), (91, ""), (92, "short"), (93, stretches[0])]
+    got = [tuple(r) for r in D.shared_stretches(spark.createDataFrame(texts, "id bigint, t string"), "id", "t", 20).collect()]
+    grams = {i: {t[j : j + 20] for j in range(len(t) - 19)} for i, t in texts if t}
+    pairs = {(max(a, b), min(a, b)) for a in grams for b in grams if a != b and grams[a] & grams[b]}
+    assert len(got) == len(set(got)) and set(got) <= pairs
+
+    def linked(edges):
+        group = {i: {i} for i in grams}
+        for a, b in edges:
+            if group[a] is not group[b]:
+                group[a] |= group[b]
+                for x in group[b]:
+                    group[x] = group[a]
+        return {frozenset(g) for g in group.values()}
+
+    assert linked(got) == linked(pairs)
