@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from medloom.functions.scores import f1, matcher_ratio, safe_ratio
@@ -33,27 +34,43 @@ def macro(counts: DataFrame) -> DataFrame:
     return scored.agg(F.count("*").alias("docs"), F.round(F.avg(p), 4).alias("precision"), F.round(F.avg(r), 4).alias("recall"))
 
 
-def one_to_one(pairs: DataFrame, rounds: int = 50) -> DataFrame:
+def one_to_one(pairs: DataFrame) -> DataFrame:
     """Greedy one-to-one matching of (by, s, g, score): best score first, ties to smaller ids.
 
-    Rounds of mutual bests: each keeps the pairs that are best for both ends,
-    which is the greedy result, and drops their ends from the rest.
+    A document's pairs stream in that order through one task, which keeps a
+    pair while both its ends are free: the whole greedy result, however many
+    pairs tie. Only the matched ids of one document are in memory.
     """
-    from medloom.session import materialize
-
-    rest = materialize(pairs.select("by", "s", "g", "score"))
-    kept = rest.limit(0)
-    for _ in range(rounds):
-        if not rest.limit(1).count():
-            break
-        rank = F.struct(-F.col("score"), "s", "g")
-        best_s = rest.groupBy("by", "s").agg(F.min(rank).alias("m")).select("by", F.col("m.s").alias("s"), F.col("m.g").alias("g"))
-        best_g = rest.groupBy("by", "g").agg(F.min(rank).alias("m")).select("by", F.col("m.s").alias("s"), F.col("m.g").alias("g"))
-        mutual = rest.join(best_s.intersect(best_g), ["by", "s", "g"])
-        mutual = materialize(mutual)
-        kept = kept.unionByName(mutual)
-        rest = materialize(rest.join(mutual.select("by", "s"), ["by", "s"], "left_anti").join(mutual.select("by", "g"), ["by", "g"], "left_anti"))
-    return kept
+
+    def free_ends(parts):
+        """Keeps each pair whose ends are both free, of pairs in order; a document's pairs are adjacent."""
+        doc, used_s, used_g = None, set(), set()
+        for part in parts:
+            keep = []
+            for by, s, g in zip(part["by"], part["s"], part["g"], strict=True):
+                if by != doc:
+                    doc, used_s, used_g = by, set(), set()
+                keep.append(free := s not in used_s and g not in used_g)
+                if free:
+                    used_s.add(s)
+                    used_g.add(g)
+            yield part[keep]
+
+    ordered = pairs.select("by", "s", "g", "score").where("by IS NOT NULL").repartition("by").sortWithinPartitions("by", F.desc("score"), "s", "g")
+    return ordered.mapInPandas(free_ends, ordered.schema)
+
+
+def match_texts(system: DataFrame, gold: DataFrame, by: str, text: str, least: float = 0.8) -> DataFrame:
+    """``one_to_one`` of ``fuzzy_pairs``, without pairing equal texts with each other.
+
+    The i-th copy of a text meets the i-th copy of the other side, as the
+    greedy order has it; only the rest is compared, so k copies give k rows
+    and not k^2.
+    """
+    side = lambda df, n: df.select(F.col(by).alias("by"), F.col("id").alias(n), F.lower(text).alias("t")).withColumn("r", F.row_number().over(W.partitionBy("by", "t").orderBy(n)))
+    equal = side(system, "s").join(side(gold, "g"), ["by", "t", "r"]).select("by", "s", "g", F.lit(1.0).alias("score"))
+    rest = lambda df, n: df.join(equal.select(F.col(n).alias("id")), "id", "left_anti")
+    return equal.unionByName(one_to_one(fuzzy_pairs(rest(system, "s"), rest(gold, "g"), by, text, least)))
 
 
 def fuzzy_pairs(system: DataFrame, gold: DataFrame, by: str, text: str, least: float = 0.8) -> DataFrame:

@@ -151,7 +151,7 @@ def jn17_gold_match(spark, d):
 def jn18_one_to_one(spark, d):
     """Greedy one-to-one fuzzy matching of two annotators' entities per document."""
     e = table(spark, d, "ner_entities", "entity_id", "doc_id", "text", "backend").where("text IS NOT NULL").withColumnRenamed("entity_id", "id")
-    return M.one_to_one(M.fuzzy_pairs(e.where("backend = 'BiomedicalNER'"), e.where("backend = 'GeneticEnricher'"), "doc_id", "text", 0.8))
+    return M.match_texts(e.where("backend = 'BiomedicalNER'"), e.where("backend = 'GeneticEnricher'"), "doc_id", "text", 0.8)
 
 
 _SEC = "CASE WHEN regexp_matches(line, '^([0-9]+[.] )?(Methods|Results|Discussion|Background|Conclusions|Eligibility)$') THEN regexp_extract(line, '([A-Z][a-z]+)$', 1) END"

@@ -102,3 +102,20 @@ def test_shared_stretches_link_every_overlap_of_20(spark):
         return {frozenset(g) for g in group.values()}
 
     assert linked(got) == linked(pairs)
+
+
+def test_matching_keeps_all_copies_of_a_text(spark):
+    rng = random.Random(8)
+    names = ["renal failure", "renal failures", "renal failurs", "heart block"]
+    side = lambda at: [(at + i, "hot", "acute pain") for i in range(60)] + [(at + 100 + i, f"d{i % 2}", rng.choice(names)) for i in range(70)]
+    s, g = side(0), side(1000)
+    ds, dg = (spark.createDataFrame(x, "id bigint, doc string, text string") for x in (s, g))
+    pairs = M.fuzzy_pairs(ds, dg, "doc", "text")
+    used, want = set(), set()
+    for r in sorted(pairs.collect(), key=lambda r: (-r.score, r.s, r.g)):
+        if not {r.s, r.g} & used:
+            used |= {r.s, r.g}
+            want.add((r.by, r.s, r.g))
+    assert sum(by == "hot" for by, _, _ in want) == 60
+    assert {(r.by, r.s, r.g) for r in M.one_to_one(pairs).collect()} == want
+    assert {(r.by, r.s, r.g) for r in M.match_texts(ds, dg, "doc", "text").collect()} == want
