@@ -73,10 +73,47 @@ def match_texts(system: DataFrame, gold: DataFrame, by: str, text: str, least: f
     return equal.unionByName(one_to_one(fuzzy_pairs(rest(system, "s"), rest(gold, "g"), by, text, least)))
 
 
+def _numbered_grams(df: DataFrame, keys: list[str], text: str, q: int) -> DataFrame:
+    """(keys, text, gram, nth): padded q-grams of distinct texts, repeated ones numbered."""
+    padded = F.concat(F.lit("\x02" * (q - 1)), F.col(text), F.lit("\x03" * (q - 1)))
+    rows = df.where(F.length(text) > 0).select(*keys, text, padded.alias("_p"), F.explode(F.sequence(F.lit(1), F.length(text) + (q - 1))).alias("_i"))
+    counted = rows.select(*keys, text, F.substring(F.col("_p"), F.col("_i"), F.lit(q)).alias("gram")).groupBy(*keys, text, "gram").agg(F.count("*").alias("_n"))
+    return counted.select(*keys, text, "gram", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("nth"))
+
+
+def similar_texts(left: DataFrame, right: DataFrame, keys: list[str], least: float) -> DataFrame:
+    """(keys, l, r, score) of the differing texts ``l`` and ``r`` of equal keys with a matcher ratio of ``least`` or more, without loss.
+
+    Of S characters in both texts, a ratio of R leaves M >= R S / 2 matched, in
+    order, and D = S - 2 M not. Hence the longer text has at most (2 - R) / R
+    times the characters of the other, their edit distance is D at most, and
+    they share at least M - (q - 1) (D - 1) padded q-grams, since a character
+    left out breaks q of them and one put in q - 1. Texts that share so many
+    share one of the rarest of either (all but that number less one), which is
+    the join's key.
+    """
+    q = 3 if least >= 0.85 else 2 if least >= 2 / 3 else 1
+    shared = lambda n: n * (least / 2 - (q - 1) * (1 - least)) + (q - 1)
+    near = 1e-9
+    gl, gr = (_numbered_grams(df.select(*keys, c).distinct(), keys, c, q) for df, c in ((left, "l"), (right, "r")))
+    often = gl.select("gram", "nth").unionByName(gr.select("gram", "nth")).groupBy("gram", "nth").agg(F.count("*").alias("often"))
+
+    def rarest(g: DataFrame, c: str) -> DataFrame:
+        must = F.greatest(F.ceil(shared(F.length(c) * 2 / (2 - least)) - near), F.lit(1))
+        ranked = g.join(often, ["gram", "nth"]).withColumn("_k", F.row_number().over(W.partitionBy(*keys, c).orderBy("often", "gram", "nth")))
+        return ranked.where(F.col("_k") <= F.length(c) + q - must).select(*keys, c, "gram", "nth")
+
+    a, b = F.length("l"), F.length("r")
+    fits = (F.greatest(a, b) * least <= F.least(a, b) * (2 - least) + near) & (F.col("l") != F.col("r"))
+    pairs = rarest(gl, "l").join(rarest(gr, "r"), [*keys, "gram", "nth"]).where(fits).select(*keys, "l", "r").distinct()
+    edits = F.expr(f"levenshtein(l, r, cast(floor((length(l) + length(r)) * {1 - least!r}D + {near!r}D) as int))")
+    return pairs.where(edits >= 0).withColumn("score", matcher_ratio("l", "r")).where(F.col("score") >= least)
+
+
 def fuzzy_pairs(system: DataFrame, gold: DataFrame, by: str, text: str, least: float = 0.8) -> DataFrame:
-    """Pairs (by, s, g, score) of similar texts of a document; blocked by length and first letter."""
-    block = lambda df, n: df.select(F.col(by).alias("by"), F.col("id").alias(n), F.lower(text).alias(f"t_{n}"), F.substring(F.lower(text), 1, 1).alias("c"))
-    s = block(system, "s").withColumn("len", F.explode(F.sequence((F.length("t_s") * 3 / 4).cast("int"), (F.length("t_s") * 5 / 4).cast("int") + 1)))
-    g = block(gold, "g").withColumn("len", F.length("t_g"))
-    pairs = s.join(g, ["by", "c", "len"]).withColumn("score", F.when(F.col("t_s") == F.col("t_g"), F.lit(1.0)).otherwise(matcher_ratio("t_s", "t_g")))
-    return pairs.where(F.col("score") >= least).select("by", "s", "g", "score")
+    """Pairs (by, s, g, score) of similar texts of a document, all of them; each two texts are compared once."""
+    side = lambda df, n, t: df.select(F.col(by).alias("by"), F.col("id").alias(n), F.lower(text).alias(t))
+    s, g = side(system, "s", "l"), side(gold, "g", "r")
+    equal = s.join(g.withColumnRenamed("r", "l"), ["by", "l"]).select("by", "s", "g", F.lit(1.0).alias("score"))
+    near = similar_texts(s, g, ["by"], least).join(s, ["by", "l"]).join(g, ["by", "r"]).select("by", "s", "g", "score")
+    return equal.unionByName(near)

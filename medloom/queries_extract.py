@@ -8,6 +8,7 @@ from medloom.functions import extract as E
 from medloom.functions import predicates as P
 from medloom.functions import scores as S
 from medloom.operators import lexicon as L
+from medloom.operators import matching as M
 from medloom.registry import BLOCKS, PAGES, PLANTED, Registry, blocks, pages, planted
 from medloom.session import broadcast_if_small, table
 
@@ -230,13 +231,13 @@ def jn04_contained_term(spark, d):
 
 @query()
 def jn05_exact_then_fuzzy(spark, d):
-    """Exact term, else the most similar one with the same first letter and about the same length."""
+    """Exact term, else the most similar one with a ratio of 0.9 or more."""
     t = table(spark, d, "term_lexicon").select("term_id", F.lower("preferred_label").alias("k"))
     v = table(spark, d, "ner_entities").where("normalized IS NOT NULL").select(F.lower("normalized").alias("v")).distinct()
     exact = v.join(t, v["v"] == t["k"]).select("v", "term_id", F.lit(1.0).alias("ratio"))
-    rest = v.join(exact, "v", "left_anti").withColumn("c", F.substring("v", 1, 1)).withColumn("len", F.explode(F.sequence(F.greatest(F.length("v") - 3, F.lit(1)), F.length("v") + 3)))
-    blocked = t.withColumn("c", F.substring("k", 1, 1)).withColumn("len", F.length("k"))
-    near = rest.join(broadcast_if_small(blocked), ["c", "len"]).where(F.levenshtein("v", "k", 6) >= 0).withColumn("ratio", F.round(S.matcher_ratio("v", "k"), 4)).where("ratio >= 0.9")
+    rest = v.join(exact, "v", "left_anti")
+    similar = M.similar_texts(rest.select(F.col("v").alias("l")), t.select(F.col("k").alias("r")), [], 0.89995)
+    near = similar.select(F.col("l").alias("v"), F.col("r").alias("k"), F.round("score", 4).alias("ratio")).where("ratio >= 0.9").join(t, "k")
     best = near.groupBy("v").agg(F.min(F.struct((-F.col("ratio")).alias("r"), "term_id")).alias("m")).select("v", "m.term_id", (-F.col("m.r")).alias("ratio"))
     return exact.unionByName(best)
 

@@ -119,3 +119,26 @@ def test_matching_keeps_all_copies_of_a_text(spark):
     assert sum(by == "hot" for by, _, _ in want) == 60
     assert {(r.by, r.s, r.g) for r in M.one_to_one(pairs).collect()} == want
     assert {(r.by, r.s, r.g) for r in M.match_texts(ds, dg, "doc", "text").collect()} == want
+
+
+def test_similar_texts_against_brute_force(spark):
+    from difflib import SequenceMatcher
+
+    rng = random.Random(11)
+
+    def typo(t):
+        t = list(t)
+        for _ in range(rng.randrange(6)):
+            i = rng.randrange(len(t) + 1)
+            t[i : i + rng.randrange(2)] = rng.choice(["", "x", " ", "é", "ab"])
+        return "".join(t)
+
+    terms = ["ab", "abc", "bcd", "", "aaaaaaaa", "gospelsuros anemia type 5 nos", "autoimmune vumissioric neuropathy type 3", "congenital siofiorziolen deficiency", "xutoimmune", "autoimmune"] + ["".join(rng.choice("abc ") for _ in range(rng.randrange(1, 14))) for _ in range(40)]
+    left = sorted({typo(t) for t in terms * 6} | {"guspelsurös anemia type 5 nos", "autoimmune  vumissioric  neuropathy  type  3", "ac", "a" * 9})
+    dl, dr = spark.createDataFrame([(t,) for t in left], "l string"), spark.createDataFrame([(t,) for t in terms], "r string")
+    for least in (0.9, 0.8, 0.6):
+        want = {(a, b): r for a in left for b in terms if a != b and (r := SequenceMatcher(None, a, b).ratio()) >= least}
+        assert {(x.l, x.r): x.score for x in M.similar_texts(dl, dr, [], least).collect()} == want
+    s, g = dl.selectExpr("hash(l) AS id", "'d' AS doc", "l AS text"), dr.distinct().selectExpr("hash(r) AS id", "'d' AS doc", "r AS text")
+    want = sum(SequenceMatcher(None, a, b).ratio() >= 0.8 for a in left for b in set(terms))
+    assert M.fuzzy_pairs(s, g, "doc", "text", 0.8).count() == want
