@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -106,3 +108,65 @@ class MentionSpans:
         for kind, rx in {**PATTERNS, **GENETIC}.items():
             for m in re.finditer(rx, text or "", re.ASCII):
                 yield kind, m.start(1), m.end(1), m[1]
+
+
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def quote_ratios(texts: pd.Series, quotes: pd.Series) -> pd.Series:
+    """For each of a text's quotes 1.0 if the text has it, else its best window's ratio, null below 0.9 or for less than 10 characters."""
+    import numpy as np
+
+    def trigrams(t: str) -> np.ndarray:
+        c = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype="uint32").astype("int64")
+        return (c[:-2] << 42) | (c[1:-1] << 21) | c[2:]
+
+    def best_window(quote: str, text: str, grams: tuple, least: float) -> float | None:
+        """Highest matcher ratio of ``quote`` and a window of ``text`` of its length or a tenth less or more, if ``least`` or more.
+
+        Only windows that share as many trigrams with the quote as the ratio
+        guarantees are compared, so none is lost.
+        """
+        n, best = len(quote), None
+        codes, order = grams
+        hits = np.zeros(len(text) + 1, dtype="int64")
+        of = np.unique(trigrams(quote))
+        for a, b in zip(np.searchsorted(codes, of), np.searchsorted(codes, of, "right"), strict=True):
+            hits[order[a:b] + 1] = 1
+        total = np.cumsum(hits)
+        for w in sorted({n, int(n * 0.9), int(n * 1.1)}):
+            if w < 10 or w > len(text):
+                continue
+            matched = math.ceil(least * (n + w) / 2 - 1e-9)
+            must = w - 2 - 3 * (w - matched) - 2 * (n - matched)
+            for i in np.flatnonzero(total[w - 2 : len(text) - 1] - total[: len(text) - w + 1] >= must):
+                m = SequenceMatcher(None, quote, text[i : i + w])
+                if m.real_quick_ratio() >= least and m.quick_ratio() >= least and (r := m.ratio()) >= least and r > (best or 0):
+                    best = r
+        return best
+
+    out = []
+    for text, of in zip(texts, quotes, strict=True):
+        codes = trigrams(text)
+        order = np.argsort(codes, kind="stable")
+        grams = codes[order], order
+        out.append([None if not q else 1.0 if q in text else best_window(q, text, grams, 0.9) if len(q) >= 10 else None for q in of])
+    return pd.Series(out)
+
+
+def reference_keys(text: Column) -> Column:
+    """Keys ``type:number`` of the figures, tables and exhibits a text names, one per number of a range.
+
+    "Figs. 2-4" are three; a number after a dot is a part of its figure
+    ("Figure 2.1"). What can't be a range, as it falls or spans over a
+    thousand, gives the keys of its two numbers.
+    """
+    rx = F.lit(r"(?i)\b(fig|table|exhibit)(?:ure)?s?\.?\s*([0-9]{1,9})(?![0-9])(?:\s*[-\u2010-\u2015]\s*([0-9]{1,9})(?![0-9]))?")
+    m = F.arrays_zip(*[F.regexp_extract_all(text, rx, i).alias(n) for i, n in ((1, "k"), (2, "a"), (3, "b"))])
+
+    def keys(x: Column) -> Column:
+        a = x["a"].cast("int")
+        b = F.coalesce(F.nullif(x["b"], F.lit("")).cast("int"), a)
+        numbers = F.when((b >= a) & (b - a <= 1000), F.sequence(a, F.greatest(a, F.least(b, a + 1000)))).otherwise(F.array(a, b))
+        kind = F.when(F.lower(x["k"]) == "fig", "figure").otherwise(F.lower(x["k"]))
+        return F.transform(numbers, lambda n: F.concat_ws(":", kind, n.cast("string")))
+
+    return F.flatten(F.transform(m, keys))

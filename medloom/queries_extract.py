@@ -171,6 +171,17 @@ def ex42_quotes(spark, d):
     return e.join(t, "doc_id").select("entity_id", F.col("t").contains(F.lower("text")).alias("quoted"))
 
 
+@query()
+def ex42_quotes_windowed(spark, d):
+    """As ``ex42_quotes``, white space folded, with the best window's ratio where the text hasn't the quote."""
+    fold = lambda c: F.trim(F.regexp_replace(F.lower(c), r"[\s\u00a0\u2002\u2003\u2009]+", " "))
+    t = table(spark, d, "pipeline_state").groupBy("doc_id").agg(F.max("full_text").alias("t")).where("t IS NOT NULL").select("doc_id", fold("t").alias("t"))
+    e = table(spark, d, "ner_entities", "entity_id", "doc_id", "text").where("text IS NOT NULL").select("entity_id", "doc_id", fold("text").alias("q"))
+    some = e.select("doc_id", "q").distinct().groupBy("doc_id").agg(F.collect_list("q").alias("q"))
+    found = some.join(t, "doc_id").select("doc_id", F.explode(F.arrays_zip("q", E.quote_ratios("t", "q").alias("ratio"))).alias("x")).select("doc_id", "x.q", "x.ratio")
+    return e.join(found, ["doc_id", "q"]).select("entity_id", F.col("ratio").isNotNull().alias("quoted"), F.round("ratio", 4).alias("ratio"))
+
+
 @query(r"""SELECT entry_id, len(list_filter(v, lambda x: NOT list_contains(t, x))) AS unverified, round(power(0.7, len(list_filter(v, lambda x: NOT list_contains(t, x)))) * CASE WHEN strpos(text, structured_data.value) > 0 THEN 1.0 ELSE 0.5 END, 6) AS penalty
 FROM (SELECT *, regexp_extract_all(structured_data.value, '[0-9]+(?:\.[0-9]+)?') AS v, regexp_extract_all(text, '[0-9]+(?:\.[0-9]+)?') AS t FROM feasibility_entries WHERE structured_data.value IS NOT NULL AND text IS NOT NULL)""")
 def ex43_numbers_and_penalty(spark, d):

@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from medloom.functions import scores as S
-from medloom.functions.extract import definitions
+from medloom.functions.extract import definitions, reference_keys
 from medloom.operators import dedup as D
 from medloom.operators import matching as M
 from medloom.operators import spans as SP
@@ -169,6 +169,13 @@ def jn22_body_references(spark, d):
     return r.groupBy("ref").agg(F.count("*").alias("docs"))
 
 
+@query()
+def jn22_body_reference_keys(spark, d):
+    """Figures, tables and exhibits by key, each number of a range on its own, with their documents."""
+    r = planted(spark, d).select("doc_id", F.explode(reference_keys(F.col("text"))).alias("key")).distinct()
+    return r.groupBy("key").agg(F.count("*").alias("docs"))
+
+
 # --- aggregations -------------------------------------------------------------------------
 
 

@@ -46,3 +46,35 @@ def test_definitions_and_alignment(spark):
     assert got == {("parenthetical", "TNF"), ("equals", "BMI")}
     a = spark.createDataFrame([("TNF", "the tumor necrosis factor"), ("XYZ", "nothing here"), (None, "a")], "s string, b string")
     assert [r.v for r in a.select(E.aligned_long_form("s", "b").alias("v")).collect()] == ["tumor necrosis factor", None, None]
+
+
+def test_quote_windows_against_all_windows(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(4)
+    text = "the patient had recurrent muscle wasting and autoimmune neuropathy of type 3, " + "".join(rng.choice("abcde ") for _ in range(300))
+    quotes = ["muscle wasting", "muscle wastong and", "autoimmun neuropathy", "had reccurrent muscle", "entirely other words", "short", "", "autoimune neuropathi"]
+    for _ in range(25):
+        i, n = rng.randrange(300), rng.randrange(10, 50)
+        q = list(text[i : i + n])
+        for _ in range(rng.randrange(5)):
+            q[rng.randrange(len(q))] = rng.choice(["", "x", "ab"])
+        quotes.append("".join(q))
+
+    def best(q):
+        if not q or q in text:
+            return 1.0 if q else None
+        sizes = [w for w in (len(q), int(len(q) * 0.9), int(len(q) * 1.1)) if w >= 10 and len(q) >= 10]
+        r = max((SequenceMatcher(None, q, text[i : i + w]).ratio() for w in sizes for i in range(len(text) - w + 1)), default=0)
+        return r if r >= 0.9 else None
+
+    got = spark.createDataFrame([(text, quotes)], "t string, q array<string>").select(E.quote_ratios("t", "q").alias("r")).first().r
+    assert got == [best(q) for q in quotes] and got[1] is not None and got[4] is None
+
+
+def test_reference_keys(spark):
+    k = lambda x: value(spark, E.reference_keys(F.lit(x)))
+    assert k("See Tables 2-4, Fig. 1 and (Exhibit 7).") == ["table:2", "table:3", "table:4", "figure:1", "exhibit:7"]
+    assert k("figures 3–5 and Figure 2.1, Table 9-3, tablet 4") == ["figure:3", "figure:4", "figure:5", "figure:2", "table:9", "table:3"]
+    assert k("Table 2-20190101") == ["table:2", "table:20190101"] and k("none") == [] and k(None) is None
