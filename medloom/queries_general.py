@@ -42,6 +42,18 @@ def p6_gene_evidence(spark: SparkSession, d: str) -> DataFrame:
     return child_tables(table(spark, d, "extraction_results", "result_id", "genes"), "result_id", "genes")["genes.supporting_evidence"]
 
 
+def p6_gene_identifiers(spark: SparkSession, d: str) -> DataFrame:
+    return child_tables(table(spark, d, "extraction_results", "result_id", "genes"), "result_id", "genes")["genes.identifiers"]
+
+
+def p6_gene_diseases(spark: SparkSession, d: str) -> DataFrame:
+    return child_tables(table(spark, d, "extraction_results", "result_id", "genes"), "result_id", "genes")["genes.associated_diseases"]
+
+
+def p6_candidate_identifiers(spark: SparkSession, d: str) -> DataFrame:
+    return child_tables(table(spark, d, "gene_candidates", "candidate_id", "identifiers"), "candidate_id", "identifiers")["identifiers"]
+
+
 def p6_raw_entities(spark: SparkSession, d: str) -> DataFrame:
     return infer_levels(table(spark, d, "zeroshot_results", "result_id", "raw_entities"), "result_id", "raw_entities")["raw_entities"]
 
@@ -50,7 +62,7 @@ def p6_raw_attributes(spark: SparkSession, d: str) -> DataFrame:
     return infer_levels(table(spark, d, "zeroshot_results", "result_id", "raw_entities"), "result_id", "raw_entities")["raw_entities.attributes"]
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_quantities, p6_found, p6_genes, p6_gene_evidence, p6_raw_entities, p6_raw_attributes)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_quantities, p6_found, p6_genes, p6_gene_evidence, p6_gene_identifiers, p6_gene_diseases, p6_candidate_identifiers, p6_raw_entities, p6_raw_attributes)}
 
 _EACH = "unnest(range(len({0}))) AS {1}(i)"
 

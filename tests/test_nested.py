@@ -40,3 +40,13 @@ def test_merged_schema_round_trip(spark):
     t = infer_levels(df, "id", "j")
     assert sorted(r.f_w or "" for r in t["j"].collect()) == ["", "a", "b", "c"]
     assert sorted(r.f_n for r in t["j.k"].collect()) == [1, 2]
+
+
+def test_child_tables_have_the_rows_that_p6_found_lists(spark):
+    import __spark_entry__ as entry
+
+    q, d = entry.queries(), "/root/testdata/sf0.001"
+    listed = {r.child_kind: r["count"] for r in q["p6_found"](spark, d).groupBy("child_kind").count().collect()}
+    for kind, name in (("identifier", "p6_candidate_identifiers"), ("gene_identifier", "p6_gene_identifiers"), ("gene_disease", "p6_gene_diseases")):
+        t = q[name](spark, d)
+        assert t.count() == listed.get(kind, 0) > 0 and any(c.startswith("f_") for c in t.columns)
