@@ -1,9 +1,11 @@
 """Text of scanned pages repaired into continuous paragraphs.
 
 Furniture: lines at a page's edges whose digits are masked.  A masked line is
-a running header or footer if it comes again on other pages of its document,
-or stands at edges wherever the corpus has it; a lone number is one if it
-counts the pages.  Lines that the corpus also has inside pages are none.
+a running header or footer if it comes again on other pages of its text, or
+stands at edges more often than chance puts a line there and never inside
+pages; a lone number is one if it counts the pages.  The outer two lines of a
+page are asked, and a further one as long as all lines outside it are
+furniture: headers may have any number of lines.
 
 Words: every word is written as a skeleton of strokes in which confusable
 glyphs agree (``m`` and ``rn``, ``d`` and ``cl``, ``l`` and ``1`` and ``!``).
@@ -13,31 +15,51 @@ A rare word that two frequent words make, side by side in the corpus, has lost
 its space.  A break sign at a line's end belongs to the word only if the
 corpus writes the word with it.
 
-Lines are put in order and joined by SQL windows over the lines of one text;
-counts are over the words and lines of all texts.
+Every text is read four times as a whole, by Arrow batches: for the lines at
+page edges; for counts of words and of asked lines; for neighbours and broken
+words; for the words found misread.  Only counts, keys and the lines asked for
+leave a pass.  What a pass asks for is named by a bit filter of bounded size;
+what slips through the filter is taken out by an exact join, so the filter
+never decides.  Texts that come again are counted and judged once.
 
 Defined results: null and empty texts have no lines; page markers and blank
-lines are never noise; texts without markers have no furniture.
+lines are never noise; texts without markers have no furniture; a text that
+comes again under another key has the same rows under each of its keys.
 """
 
 from __future__ import annotations
 
+import math
+import re
+import zlib
+from collections import Counter
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from medloom.session import materialize
+from medloom.session import BROADCAST_LIMIT, materialize
 
 MARKER = r"^--- Page (\d+) ---$"
 SHY, NOT_SIGN = chr(0xAD), chr(0xAC)
 #: Break signs at a line's end.
-BREAK = rf"[-{SHY}{NOT_SIGN}{chr(0x2010)}]"
+SIGNS = f"-{SHY}{NOT_SIGN}{chr(0x2010)}"
+BREAK = f"[{SIGNS}]"
 #: How many times more often than a misread form the right one comes.
 RATIO = 6
-#: A letters-only form this frequent is a word of its own unless its neighbours say otherwise.
-OWN = 10
-#: Most forms that are broadcast; beyond it the join is shuffled.
-FORMS = 400_000
+#: The share that a misread form may have, one occurrence of each side added beforehand.
+SHARE = 0.25
+#: Occurrences a form needs before its neighbours can tell that it is a word of its own.
+PRIOR = 5
+#: Lines at each edge of a page that are asked at first.
+DEPTH = 3
+#: Most bits of a filter.
+FILTER_BITS = 1 << 26
 
 
 def skeleton(word: Column) -> Column:
@@ -45,11 +67,299 @@ def skeleton(word: Column) -> Column:
     plain = F.translate(F.lower(word), "áàâäãåéèêëíìîïóòôöõúùûüñç", "aaaaaaeeeeiiiiooooouuuunc")
     one = F.translate(plain, "i1!|r0e5fq9", "lllllocstgg")
     out = one
-    for glyph, strokes in (("m", "ln"), ("d", "cl"), ("u", "ll"), ("h", "ll"), ("b", "ll"), ("6", "ll"), ("w", "vv")):
+    for glyph, strokes in STROKES:
         out = F.replace(out, F.lit(glyph), F.lit(strokes))
     return out
 
 
+#: Glyphs that scans part in two.
+STROKES = (("m", "ln"), ("d", "cl"), ("u", "ll"), ("h", "ll"), ("b", "ll"), ("6", "ll"), ("w", "vv"))
+_ONE = str.maketrans("áàâäãåéèêëíìîïóòôöõúùûüñçi1!|r0e5fq9", "aaaaaaeeeeiiiiooooouuuunclllllocstgg".replace("i", "l").replace("e", "c"))
+_SIDE = re.compile(r"^\d{1,4}\s{2,}(?=\S)|(?<=\S)\s{2,}\d{1,4}$")
+_NUMBER = re.compile(r"(?<!\S)[^\sA-Za-z]*[A-Za-z]?[^\sA-Za-z]*\d[^\sA-Za-z]*(?!\S)")
+
+
+def masked(line: str) -> list[str]:
+    """Words of a line without its page number at a side, numbers masked, in skeletons."""
+    out = _NUMBER.sub("#", _SIDE.sub("", line.strip())).lower().translate(_ONE)
+    for glyph, strokes in STROKES:
+        out = out.replace(glyph, strokes)
+    return out.split()
+
+
+# --- passes over whole texts ---------------------------------------------
+
+
+def _pass(docs: DataFrame, work: Callable[[list, list], pa.RecordBatch | None], schema: T.StructType) -> DataFrame:
+    """Run ``work(docs, texts)`` on every Arrow batch of (doc, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = work(b.column(0).to_pylist(), b.column(1).to_pylist())
+            if out is not None:
+                yield out
+
+    return docs.select("doc", "text").mapInArrow(run, schema)
+
+
+def _batch(schema: str, columns: list) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, type=kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
+
+
+def _signed(hashes: list[int]) -> np.ndarray:
+    return np.array(hashes, dtype=np.uint64).view(np.int64)
+
+
+_h = xxhash.xxh3_64_intdigest
+_MARK = re.compile(r"^--- Page \d+ ---$")
+
+
+_BLANK = " \t\r\f\v"
+_EDGE_BYTES = _BLANK.encode()
+
+
+def pages(text: str) -> list[list[tuple[int, str]]]:
+    """The lines (number, line) of each page that are neither blank nor markers; those before the first marker come first."""
+    out: list[list[tuple[int, str]]] = [[]]
+    here = out[0]
+    for i, line in enumerate(text.split("\n"), 1):
+        line = line.rstrip(_BLANK)
+        if line and not line.isspace():
+            if line[0] == "-" and _MARK.match(line):
+                here = []
+                out.append(here)
+            else:
+                here.append((i, line))
+    return out
+
+
+#: Digits of a plain key agree.
+_PLAIN = bytes(ord("#") if chr(c) in "0123456789" else c for c in range(256))
+
+
+def _plain_keys(line: bytes) -> tuple[int, int]:
+    """Keys of a line, and of its last two words (0 where it has no more), with digits masked."""
+    tail = line.rsplit(None, 2)
+    return _h(line), _h(b"\x00" + tail[1] + b" " + tail[2]) if len(tail) == 3 else 0
+
+
+def _plain(text: str) -> bytes:
+    return text.lower().encode("utf-8", "replace").translate(_PLAIN)
+
+
+_LONE = re.compile(r"^[\dlI!Oo\s]*\d[\dlI!Oo\s]*$")
+_AS_DIGIT = str.maketrans("lI!Oo", "11100")
+EDGE = "doc long, page int, no int, top int, bottom int, key long, tail long, h_key long, h_tail long, lone long"
+
+
+def edges(docs: DataFrame, depth: int) -> DataFrame:
+    """(doc, page, no, top, bottom, key, tail, h_key, h_tail, lone): the lines within ``depth`` of a page's edges.
+
+    ``key`` stands for the masked line and ``tail`` for its last two words (0
+    where it has no more), ``h_key`` and ``h_tail`` for the plain writing,
+    ``lone`` is the number where the line is nothing else.
+    """
+
+    def work(ids: list, texts: list) -> pa.RecordBatch:
+        out: list[tuple] = []
+        keys: list[int] = []
+        for doc, text in zip(ids, texts):
+            known: dict[str, tuple] = {}
+            for page, lines in enumerate(pages(text)):
+                n = len(lines)
+                if not page:
+                    continue
+                for i in range(n) if n <= 2 * depth else (*range(depth), *range(n - depth, n)):
+                    no, line = lines[i]
+                    if line not in known:
+                        words = masked(line)
+                        lone = "".join(line.split()).translate(_AS_DIGIT) if _LONE.match(line) else ""
+                        tail = _h(" ".join(words[-2:])) if len(words) > 2 else 0
+                        known[line] = (_h("".join(words)), tail, *_plain_keys(_plain(line).strip(_EDGE_BYTES))), int(lone) if lone and len(lone) < 10 else None
+                    k, lone = known[line]
+                    keys += k
+                    out.append((doc, page, no, i + 1, n - i, lone))
+        doc, page, no, top, bottom, lone = zip(*out) if out else [[]] * 6
+        k = _signed(keys).reshape(-1, 4)
+        return _batch(EDGE, [doc, page, no, top, bottom, k[:, 0], k[:, 1], k[:, 2], k[:, 3], lone])
+
+    return _pass(docs, work, EDGE)
+
+
+class Filter:
+    """A set of keys as bits: nothing asked for is missed; other keys may pass."""
+
+    def __init__(self, keys: DataFrame) -> None:
+        """``keys`` has one BIGINT column; the bits, at most ``FILTER_BITS``, are set by the executors."""
+        keys = keys.toDF("k").where("k IS NOT NULL")
+        n = keys.count()
+        self.size = min(FILTER_BITS, max(1 << 15, 1 << (16 * n).bit_length()))
+        at = keys.select(F.col("k").bitwiseAND(F.lit(self.size - 1)).alias("p")).select(F.expr("p div 32768").alias("part"), (F.col("p") % 32768).alias("bit"))
+        bits = np.zeros(self.size // 8, dtype=np.uint8)
+        for r in at.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("m")).collect() if n else []:
+            bits[r.part * 4096 : r.part * 4096 + 4096] = np.frombuffer(bytes(r.m), dtype=np.uint8)
+        self.bits = bits.tobytes()
+
+    def __contains__(self, key: int) -> bool:
+        p = key & (self.size - 1)
+        return bool(self.bits[p >> 3] >> (p & 7) & 1)
+
+    def passed(self, keys: np.ndarray) -> np.ndarray:
+        p = keys & (self.size - 1)
+        return keys[(np.frombuffer(self.bits, dtype=np.uint8)[p >> 3] >> (p & 7)) & 1 == 1]
+
+
+def _crc(*words: str) -> int:
+    return zlib.crc32(" ".join(words).encode("utf-8", "replace"))
+
+
+def crc(*words: Column) -> Column:
+    """The same key in an expression."""
+    return F.crc32(F.concat_ws(" ", *words).cast("binary"))
+
+
+#: A word broken at a line's end and the line end.
+_BROKEN = re.compile(rf"{BREAK}[ \t\r]*\n\s*")
+COUNT = "token string, line long, n long"
+
+
+def counts(docs: DataFrame, asked: Filter) -> DataFrame:
+    """(token, line, n): how often the texts have each word, not counting broken ones, and each asked line (by its plain keys)."""
+
+    def work(ids: list, texts: list) -> pa.RecordBatch:
+        words: Counter = Counter()
+        lines: list[np.ndarray] = []
+        for text in texts:
+            words.update(_BROKEN.sub("\x01", text).split())
+            keys = []
+            for line in _plain(text).split(b"\n"):
+                line = line.strip(_EDGE_BYTES)
+                if line:
+                    keys += _plain_keys(line)
+            lines.append(asked.passed(_signed(keys)))
+        some, n = np.unique(np.concatenate(lines), return_counts=True) if lines else (np.array([], np.int64), np.array([], np.int64))
+        whole = [(w, c) for w, c in words.items() if "\x01" not in w]
+        return _batch(COUNT, [[w for w, _ in whole] + [None] * len(some), [None] * len(whole) + some.tolist(), [c for _, c in whole] + n.tolist()])
+
+    return _pass(docs, work, COUNT)
+
+
+#: Punctuation round a word.
+OPENING, CLOSING = "([\"“‘„*", ".,;:)]\"”’'?*"
+
+
+def _form(token: str) -> str:
+    return token.lstrip(OPENING).rstrip(CLOSING).lower()
+
+
+def form(token: Column) -> Column:
+    """A token without the punctuation round it, in lower case."""
+    return F.lower(F.rtrim(F.ltrim(token, F.lit(OPENING)), F.lit(CLOSING)))
+
+
+NEAR = "a string, b string, n long"
+
+
+def neighbours(docs: DataFrame, pairs: Filter, contested: Filter) -> DataFrame:
+    """(a, b, n): how often asked pairs stand side by side, and what stands to the left of asked words."""
+
+    def work(ids: list, texts: list) -> pa.RecordBatch:
+        two: Counter = Counter()
+        for text in texts:
+            t = _BROKEN.sub("\x01", text).split()
+            two.update(zip(t, t[1:]))
+        known: dict[str, tuple[str, bool]] = {}
+        out: Counter = Counter()
+        for (x, y), n in two.items():
+            if y not in known:
+                f = _form(y)
+                known[y] = f, _crc(f) in contested
+            if x not in known:
+                f = _form(x)
+                known[x] = f, _crc(f) in contested
+            a, (b, of) = known[x][0], known[y]
+            if of or _crc(a, b) in pairs:
+                out[a, b] += n
+        return _batch(NEAR, [[a for a, _ in out], [b for _, b in out], list(out.values())])
+
+    return _pass(docs, work, NEAR)
+
+
+BROKEN = "doc long, no int, line string, next_no int, next_first string"
+_ENDS = re.compile(rf"[^\W_]{BREAK}$|!{BREAK}$")
+_GOES_ON = re.compile(r"[^\W_]|[!(]")
+
+
+def broken_lines(docs: DataFrame, depth: int) -> DataFrame:
+    """(doc, no, line, next_no, next_first): the last word of lines that end in a break sign, with each line that may go on.
+
+    Those are the lines up to the first one deeper than ``depth`` in its page,
+    which no furniture reaches.
+    """
+
+    def work(ids: list, texts: list) -> pa.RecordBatch:
+        out = []
+        for doc, text in zip(ids, texts):
+            flat = [(no, line, min(i + 1, len(p) - i) if k else depth + 1) for k, p in enumerate(pages(text)) for i, (no, line) in enumerate(p)]
+            for j, (no, line, _) in enumerate(flat):
+                if line[-1] in SIGNS and _ENDS.search(line):
+                    last = line.rsplit(None, 1)[-1]
+                    for next_no, after, edge in flat[j + 1 :]:
+                        out.append((doc, no, last, next_no, after.split(None, 1)[0]))
+                        if edge > depth:
+                            break
+        return _batch(BROKEN, list(zip(*out)) if out else [[]] * 5)
+
+    return _pass(docs, work, BROKEN)
+
+
+SEEN = "doc long, no int, token string, at_start boolean, at_end boolean"
+
+
+def seen_tokens(docs: DataFrame, asked: Filter) -> DataFrame:
+    """(doc, no, token, at_start, at_end): every asked token with its place in its line."""
+
+    def work(ids: list, texts: list) -> pa.RecordBatch:
+        words: set[str] = set()
+        split = [t.split() for t in texts]
+        for t in split:
+            words.update(t)
+        words = {w for w in words if _crc(w) in asked}
+        out = []
+        for doc, text, t in zip(ids, texts, split):
+            if not words.isdisjoint(t):
+                for no, line in enumerate(text.split("\n"), 1):
+                    t = line.split()
+                    if not words.isdisjoint(t):
+                        out += [(doc, no, w, k == 0, k == len(t) - 1) for k, w in enumerate(t) if w in words]
+        return _batch(SEEN, list(zip(*out)) if out else [[]] * 5)
+
+    return _pass(docs, work, SEEN)
+
+
+def _within(df: DataFrame, bytes_a_row: int = 64) -> DataFrame:
+    """Broadcast behind a count of its rows of ``bytes_a_row`` at most; above the limit the join is shuffled."""
+    return F.broadcast(df) if df.count() * bytes_a_row <= BROADCAST_LIMIT else df
+
+
+def distinct_texts(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """((doc, text) of the first row of every text, (doc, key) of the other rows of that text)."""
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
+    firsts = rows.select("key", F.md5(F.col("text").cast("binary")).alias("h")).groupBy("h").agg(F.min("key").alias("doc"), F.count("*").alias("n"))
+    again = firsts.where("n > 1").select("h", "doc")
+    hashed = rows.select("key", F.md5(F.col("text").cast("binary")).alias("h"))
+    copies = materialize(hashed.join(_within(materialize(again)), "h").where("key <> doc").select("doc", "key").distinct())
+    return rows.join(_within(copies.select("key").distinct()), "key", "left_anti").select(F.col("key").alias("doc"), "text"), copies
+
+
+def for_copies(found: DataFrame, copies: DataFrame) -> DataFrame:
+    """The rows of ``doc`` once more for each other key of its text."""
+    more = found.join(_within(copies), "doc").select(F.col("key").alias("doc"), *[c for c in found.columns if c != "doc"])
+    return found.unionByName(more)
+
+
 def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc, no, line, page, top, bottom): the lines that are neither blank nor markers.
 
@@ -66,123 +376,93 @@ def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     return each.select("doc", "l.no", "l.line", F.when(F.col("page") > 0, F.col("page")).alias("page"), (F.col("i") + 1).alias("top"), (F.col("n") - F.col("i")).alias("bottom"))
 
 
-def masked(line: Column) -> Column:
-    """A line without its page number at a side, numbers masked, words as skeletons, spaces left out."""
-    inner = F.regexp_replace(F.trim(line), r"^\d{1,4}\s{2,}(?=\S)|(?<=\S)\s{2,}\d{1,4}$", "")
-    number = F.regexp_replace(inner, r"(?<!\S)[^\sA-Za-z]*[A-Za-z]?[^\sA-Za-z]*\d[^\sA-Za-z]*(?!\S)", "#")
-    return F.regexp_replace(skeleton(number), r"\s+", "")
+def _asked(keyed: DataFrame, key: str) -> DataFrame:
+    """(key, doc, pages, n, outer) of lines at edges: on how many pages of a text a line stands near an edge."""
+    some = keyed.where(f"{key} <> 0").groupBy(key, "doc").agg(F.count("*").alias("n"), F.count_if("outer").alias("outer"), F.size(F.collect_set("page")).alias("pages"))
+    return materialize(some)
 
 
-def edges(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, no, line, page, top, bottom): the first and last two lines of every page.
+def _inside(keyed: DataFrame, key: str, stats: DataFrame, lines: DataFrame) -> DataFrame:
+    """``stats`` with ``inside``: how often their lines stand elsewhere, over all writings of a masked key."""
+    writings = keyed.join(stats.select(key), key, "left_semi").groupBy(key, F.col(f"h_{key}").alias("line")).agg(F.count("*").alias("e"))
+    inside = writings.join(lines, "line").groupBy(key).agg(F.sum(F.greatest(F.col("n") - F.col("e"), F.lit(0))).alias("inside"))
+    return stats.join(inside, key, "left").fillna(0, ["inside"])
 
-    They are cut off the page's text from both ends; no other line is taken apart.
-    """
-    newlines = lambda c: F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit("")))
-    parts = F.split(text, r"(?m)^--- Page \d+ ---[ \t\r]*$")
-    cut = docs.select(F.col(key).alias("doc"), parts.alias("parts"), F.transform(parts, newlines).alias("ends"))
-    paged = cut.select("doc", F.posexplode(F.transform("parts", lambda p, k: F.struct(p.alias("p"), F.aggregate(F.slice("ends", 1, k), F.lit(0), lambda s, e: s + e).alias("before")))).alias("page", "x")).where("page > 0")
-    p = paged.select("doc", "page", F.col("x.p").alias("p"), F.col("x.before").alias("before")).withColumn("q", F.reverse("p"))
-    rx = r"^(\s*)([^\n]+)(?:(\n\s*)([^\n]+))?"
-    g = lambda c, i: F.regexp_extract(c, rx, i)
-    p = p.select("doc", "page", "before", (F.col("before") + newlines(F.col("p"))).alias("last"), *[g("p", i).alias(f"t{i}") for i in range(1, 5)], *[g("q", i).alias(f"b{i}") for i in range(1, 5)]).where("t2 <> ''")
-    no = p.select(
-        "doc", "page", F.rtrim("t2", F.lit(" \r\t")).alias("lt1"), F.rtrim("t4", F.lit(" \r\t")).alias("lt2"), F.rtrim(F.reverse("b2"), F.lit(" \r\t")).alias("lb1"), F.rtrim(F.reverse("b4"), F.lit(" \r\t")).alias("lb2"),
-        (F.col("before") + newlines(F.col("t1")) + 1).alias("t1"), (F.col("last") - newlines(F.col("b1")) + 1).alias("b1"), newlines(F.col("t3")).alias("td"), newlines(F.col("b3")).alias("bd"),
-    ).withColumn("n2", F.when(F.col("lt2") != "", F.col("t1") + F.col("td"))).withColumn("m2", F.when(F.col("lb2") != "", F.col("b1") - F.col("bd")))
-    from_end = lambda n: F.when(n == F.col("b1"), 1).when(n == F.col("m2"), 2).otherwise(9)
-    row = lambda n, line, top, bottom: F.struct(n.alias("no"), line.alias("line"), top.alias("top"), bottom.alias("bottom"))
-    after = F.coalesce("n2", "t1")
-    four = F.array(
-        row(F.col("t1"), F.col("lt1"), F.lit(1), from_end(F.col("t1"))), F.when(F.col("n2").isNotNull(), row(F.col("n2"), F.col("lt2"), F.lit(2), from_end(F.col("n2")))),
-        F.when(F.col("m2") > after, row(F.col("m2"), F.col("lb2"), F.lit(9), F.lit(2))), F.when(F.col("b1") > after, row(F.col("b1"), F.col("lb1"), F.lit(9), F.lit(1))),
-    )
-    return no.select("doc", "page", F.explode(four).alias("e")).where("e IS NOT NULL").select("doc", "e.no", "e.line", "page", "e.top", "e.bottom")
-
-
-def furniture(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, no) of the running headers, footers and page numbers.
-
-    The masked key is worked out for lines at edges only; whether the corpus
-    has such a line inside pages is looked up by a plainer key of each writing.
-    """
-    outer = (F.col("top") == 1) | (F.col("bottom") == 1)
-    plain = F.translate(F.lower(F.trim("line")), "0123456789 ", "##########")
-    h_key, h_tail = F.xxhash64("plain"), F.xxhash64(F.right("plain", F.lit(12)), F.lit(1))
-    mask = masked(F.col("line"))
-    keyed = edges(docs, key, text).withColumn("plain", plain).withColumn("key", mask).select(
-        "doc", "no", "page", "top", outer.alias("outer"), F.xxhash64("key").alias("key"), F.xxhash64(F.right("key", F.lit(12))).alias("tail"),
-        h_key.alias("h_key"), h_tail.alias("h_tail"), F.when(F.length("line") < 12, F.col("line")).alias("short"),
-    )
-    keyed = materialize(keyed)
-    # all lines are counted, then those at edges taken off
-    at_edges = materialize(keyed.select(F.explode(F.array("h_key", "h_tail")).alias("h")).groupBy("h").agg(F.count("*").alias("e")))
-    asked = _small(at_edges)
-    every = docs.select(F.explode(F.split(text, r"[ \t\r]*\n")).alias("line")).where("line <> ''").select(plain.alias("plain")).select(F.explode(F.array(h_key, h_tail)).alias("h"))
-    inside = materialize(every.join(asked, "h").groupBy("h").agg((F.count("*") - F.max("e")).alias("inside")))
-
-    def share(k: str, p: str) -> DataFrame:
-        counts = keyed.groupBy(k).agg(F.count("*").alias(f"{p}edges"), F.count_if(F.col("outer")).alias(f"{p}outermost"))
-        writings = keyed.select(k, F.col(f"h_{k}").alias("h")).distinct().join(inside, "h").groupBy(k).agg(F.sum("inside").alias(f"{p}inside"))
-        return counts.join(writings, k, "left").fillna(0, [f"{p}inside"])
-
-    lone = F.translate(F.regexp_replace("short", r"[\s]", ""), "lI!Oo", "11100")
-    at_edge = keyed.withColumn("lone", F.when(F.col("short").rlike(r"^\s*[\dlI!Oo]*\d[\dlI!Oo]*\s*$") & F.col("outer"), lone.try_cast("int")))
-    here = W.partitionBy("doc", "key")
-    counted = F.count("lone").over(W.partitionBy("doc", F.col("lone") - F.col("page"), F.col("top") == 1))
-    flagged = at_edge.withColumn("again", F.size(F.collect_set("page").over(here))).withColumn("counted", F.when(F.col("lone").isNotNull(), counted).otherwise(0)).join(share("key", ""), "key").join(share("tail", "t_"), "tail")
-    never = (F.col("edges") >= 10) & (F.col("inside") * 50 <= F.col("edges"))
-    ending = (F.col("t_edges") >= 10) & (F.col("t_inside") * 50 <= F.col("t_edges")) & (F.col("t_outermost") * 2 >= F.col("t_edges")) & F.col("outer")
-    repeated = (F.col("again") >= 2) & (F.col("inside") * 5 <= F.col("edges")) & F.col("lone").isNull()
-    return flagged.where(never | ending | repeated | (F.col("counted") >= 2)).select("doc", "no")
 
+def furniture(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame, int]:
+    """((doc, no) of the running headers, footers and page numbers, (token, n) of all words, the deepest such line).
 
-#: Punctuation round a word.
-_CLOSE, _OPEN = r"[.,;:)\]\"”’'?*]+(?=\s|$)", r"(?<![^\s])[(\[\"“‘„*]+"
-_TRIM = rf"{_OPEN}|{_CLOSE}"
-#: Codes of upper-case letters and digits, and bare numbers with signs, are no words to repair.
-CODE = r"^(?=.*[A-Z].*[A-Z\d])[A-Z\d/-]+$"
-
-
-def cleaned(text: Column) -> Column:
-    """A text without the punctuation round its words; lines stay."""
-    # each pattern begins with a character class, so most places are passed at once
-    opened = F.regexp_replace(text, r"(\s)[(\[\"“‘„*]+", "$1")
-    return F.regexp_replace(opened, r"[.,;:)\]\"”’'?*]+(\s|$)", "$1")
-
-
-def _tokens(text: Column) -> Column:
-    """Words of a cleaned text; those broken at a line's end hold a control character."""
-    return F.split(F.regexp_replace(text, rf"{BREAK}[ \t\r]*\n\s*", "\x01"), r"\s+")
-
-
-def word_counts(docs: DataFrame, text: str) -> DataFrame:
-    """(form, n) of the words of all cleaned texts, without those broken at a line's end."""
-    raw = docs.select(F.explode(_tokens(F.col(text))).alias("t")).groupBy("t").agg(F.count("*").alias("n"))
-    raw = raw.where((F.col("t") != "") & ~F.col("t").contains("\x01") & ~F.col("t").rlike(CODE))
-    return raw.groupBy(F.lower("t").alias("form")).agg(F.sum("n").alias("n"))
-
-
-def neighbours(docs: DataFrame, text: str, wanted: DataFrame, contested: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((a, b, m), (w, l, m)) in one pass over the cleaned texts.
-
-    How often the wanted pairs stand side by side, and what stands to the left
-    of the contested words.
+    A line stands at edges by more than chance if it does so as often as no
+    line would that has its places at random: fewer than one of all the
+    different lines is expected to.  So the occurrences it takes follow from
+    the share of lines that stand at edges and grow with the logarithm of the
+    corpus only.
     """
-    tokens = docs.select(_tokens(F.lower(text)).alias("t"))
-    each = tokens.select(F.explode(F.arrays_zip(F.col("t").alias("x"), F.slice("t", 2, 1 << 30).alias("y"))).alias("p")).select(F.col("p.x").alias("a"), F.col("p.y").alias("b"))
-    keys = _small(wanted.select("a", "b", F.lit(True).alias("asked")).distinct())
-    words = _small(contested.select(F.col("w").alias("b"), F.lit(True).alias("of")).distinct())
-    each = each.where("b IS NOT NULL").join(words, "b", "left").join(keys, ["a", "b"], "left").where("asked OR of")
-    seen = materialize(each.groupBy("a", "b", "asked", "of").agg(F.count("*").alias("m")))
-    return seen.where("asked").select("a", "b", "m"), seen.where("of").select(F.col("b").alias("w"), F.col("a").alias("l"), "m")
+    near = F.least("top", "bottom") <= 2
+    every = materialize(edges(docs, depth)).withColumn("outer", (F.col("top") == 1) | (F.col("bottom") == 1))
+    keyed = every.where(near)
+    by_key, by_tail = _asked(keyed, "key"), _asked(keyed, "tail")
+    size = every.agg(F.sum(F.when(F.col("top") == 1, F.col("top") + F.col("bottom") - 1)).alias("lines"), F.count_if(near).alias("near")).first()
+    stats = {k: materialize(df.groupBy(k).agg(F.sum("n").alias("e"), F.sum("outer").alias("outer"), F.max("pages").alias("pages"))) for k, df in (("key", by_key), ("tail", by_tail))}
+
+    def least(different: int) -> float:
+        share = min(0.999, (size.near or 0) / max(1, size.lines or 0))
+        return max(2.0, math.log(max(1, different)) / -math.log(share)) if share else 2.0
+
+    often = {k: least(df.count()) for k, df in stats.items()}
+    asked = {k: df.where((F.col("e") >= often[k]) | (F.lit(k == "key") & (F.col("pages") >= 2))) for k, df in stats.items()}
+    deeper = every.where(~near)
+    inner = deeper.groupBy("key").agg(F.count("*").alias("e")).where("e >= 2").select("key")
+    wanted = [keyed.join(asked[k], k, "left_semi").select(F.col(f"h_{k}").alias("k")).distinct() for k in stats] + [deeper.join(inner, "key", "left_semi").select(F.col("h_key").alias("k")).distinct()]
+    counted = materialize(counts(docs, Filter(materialize(wanted[0].unionByName(wanted[1]).unionByName(wanted[2])))))
+    lines = materialize(counted.where("line IS NOT NULL").groupBy("line").agg(F.sum("n").alias("n")))
+    words = materialize(counted.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")))
+
+    keys, tails = materialize(_inside(keyed, "key", asked["key"], lines)), _inside(keyed, "tail", asked["tail"], lines)
+    never = keys.where((F.col("e") >= often["key"]) & (F.col("inside") * 50 <= F.col("e"))).select("key")
+    ending = tails.where((F.col("e") >= often["tail"]) & (F.col("inside") * 50 <= F.col("e")) & (F.col("outer") * 2 >= F.col("e"))).select("tail")
+    again = by_key.where("pages >= 2").join(keys.where("inside * 5 <= e").select("key"), "key", "left_semi").select("key", "doc")
+    lone = keyed.where("outer AND lone IS NOT NULL")
+    series = ["doc", (F.col("lone") - F.col("page")).alias("s"), (F.col("top") == 1).alias("t")]
+    counting = lone.select(*series).groupBy("doc", "s", "t").agg(F.count("*").alias("c")).where("c >= 2")
+    place = ["doc", "no", "page", "top", "bottom"]
+    parts = [
+        keyed.join(never, "key", "left_semi"), keyed.where("outer").join(ending, "tail", "left_semi"), keyed.where("lone IS NULL OR NOT outer").join(again, ["key", "doc"], "left_semi"),
+        lone.withColumn("s", series[1]).withColumn("t", series[2]).join(counting, ["doc", "s", "t"], "left_semi"),
+    ]
+    drop = parts[0].select(*place)
+    for p in parts[1:]:
+        drop = drop.unionByName(p.select(*place))
+    drop = materialize(drop.distinct())
+    deepest = 2
+    for d in range(3, depth + 1):
+        # a line further in is asked where all lines outside it are furniture
+        exposed = deeper.where(F.col("top") == d).join(drop.where(F.col("top") == d - 1).select("doc", "page"), ["doc", "page"], "left_semi")
+        exposed = exposed.unionByName(deeper.where(F.col("bottom") == d).join(drop.where(F.col("bottom") == d - 1).select("doc", "page"), ["doc", "page"], "left_semi"))
+        exposed = materialize(exposed)
+        by = exposed.groupBy("key", "doc").agg(F.count("*").alias("n"), F.size(F.collect_set("page")).alias("pages")).groupBy("key").agg(F.sum("n").alias("e"), F.max("pages").alias("pages"))
+        some = _inside(exposed, "key", by.where("e >= 2"), lines)
+        more = some.where(((F.col("e") >= often["key"]) & (F.col("inside") * 50 <= F.col("e"))) | ((F.col("pages") >= 2) & (F.col("inside") * 5 <= F.col("e")))).select("key")
+        more = materialize(exposed.where("lone IS NULL").join(more, "key", "left_semi").select(*place).distinct())
+        if not more.count():
+            break
+        drop, deepest = materialize(drop.unionByName(more)), d
+    if deepest == depth:
+        return furniture(docs, 2 * depth)
+    return drop.select("doc", "no").distinct(), words, deepest
 
 
+#: Codes of upper-case letters and digits, and bare numbers with signs, are no words to repair.
+CODE = r"^(?=.*[A-Z].*[A-Z\d])[A-Z\d/-]+$"
 _WORD = r"^[\p{L}\d!|'’-]*\p{L}[\p{L}\d!|'’-]*$"
 
 
 def judged_forms(counts: DataFrame) -> DataFrame:
-    """(form, n, best, n_best, is_misread) of every form, by the forms that share its skeleton."""
+    """(form, n, best, n_best, is_misread) of every form, by the forms that share its skeleton.
+
+    A form gives way to one that comes ``RATIO`` times as often and leaves it a
+    share of at most ``SHARE``.
+    """
     letters = F.length(F.regexp_replace("form", r"[^\p{L}]", ""))
     other = F.length(F.regexp_replace("form", r"[^\d]", ""))
     word = counts.where(F.col("form").rlike(_WORD) & (letters >= 3)).withColumn("skel", skeleton(F.col("form")))
@@ -190,80 +470,64 @@ def judged_forms(counts: DataFrame) -> DataFrame:
     best = word.groupBy("skel").agg(F.max_by("form", F.struct("n", "form")).alias("best"), F.max("n").alias("n_best"), F.sum("n").alias("n_all"), F.max(F.struct(clean.alias("c"), "n", "form"))["form"].alias("best_clean"), F.max(F.when(clean, F.col("n")).otherwise(0)).alias("n_clean"))
     out = word.join(best, "skel")
     broken = F.col("form").rlike(r"\p{Ll}[\d!|]+\p{Ll}|^[!|]\p{L}|\p{L}{3}!$|\p{Ll}{4,}\d$") & (letters > 2 * other)
-    rarer = (F.col("form") != F.col("best")) & (F.col("n_best") >= RATIO * F.col("n")) & (F.col("n_best") >= 5)
-    odd = ~clean & broken & ((F.col("n_clean") >= F.col("n")) | (F.col("form") == F.col("best")) & (F.col("n") < 5))
-    contested = rarer & clean & (F.col("n") >= OWN) & F.col("form").rlike("^[a-z]+$")
+    share = (F.col("n") + 1) / (F.col("n") + F.col("n_best") + 2)
+    rarer = (F.col("form") != F.col("best")) & (F.col("n_best") >= RATIO * F.col("n")) & (share <= SHARE)
+    # a sign inside a word is odd by itself, unless the form is far the most usual one of its strokes
+    odd = ~clean & broken & ((F.col("n_clean") >= F.col("n")) | (F.col("form") == F.col("best")) & (F.col("n") < PRIOR))
+    contested = rarer & clean & (F.col("n") > PRIOR) & F.col("form").rlike("^[a-z]+$")
     return out.select("form", "n", F.when(rarer, F.col("best")).when(odd & (F.col("n_clean") > 0), F.col("best_clean")).otherwise(F.col("form")).alias("best"), "n_best", (rarer | odd).alias("is_misread"), contested.alias("contested"), "skel", "n_all")
 
 
-def split_candidates(rare: DataFrame, counts: DataFrame, least: int = 20) -> DataFrame:
-    """(form, n, a, b): ways to part rare forms into two words that are frequent by themselves."""
-    known = counts.where((F.col("n") >= least) & F.col("form").rlike(r"^[\p{L}\d-]+$"))
+def split_candidates(rare: DataFrame, counts: DataFrame) -> DataFrame:
+    """(form, n, a, b): ways to part rare forms into two words that are much more frequent by themselves."""
+    share = lambda n: (F.col("n") + 1) / (F.col("n") + F.col(n) + 2)
+    known = counts.where(F.col("form").rlike(r"^[\p{L}\d-]+$"))
     cut = rare.where(F.col("form").rlike(r"^[\p{L}\d-]+$") & (F.length("form") >= 4)).select("form", "n", F.explode(F.sequence(F.lit(1), F.length("form") - 1)).alias("i"))
     halves = cut.select("form", "n", F.expr("substring(form, 1, i)").alias("a"), F.expr("substring(form, i + 1)").alias("b"))
     first, second = known.select(F.col("form").alias("a"), F.col("n").alias("n_a")), known.select(F.col("form").alias("b"), F.col("n").alias("n_b"))
-    return halves.join(first, "a").join(second, "b").where((F.col("n_a") >= RATIO * F.col("n")) & (F.col("n_b") >= RATIO * F.col("n"))).select("form", "n", "a", "b")
-
-
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast behind a count; above it the join is shuffled."""
-    df = materialize(df)
-    return F.broadcast(df) if df.count() <= FORMS else df
-
-
-def _per_text(docs: DataFrame, key: str, text: str, **numbers: DataFrame) -> DataFrame:
-    """(doc, l, ...): each text's lines as one array, and arrays of line numbers of (doc, no) frames."""
-    out = docs.select(F.col(key).alias("doc"), F.split(F.regexp_replace(text, r"[ \t\r]+\n", "\n"), "\n").alias("l"))
-    for name, df in numbers.items():
-        out = out.join(_small(df.groupBy("doc").agg(F.collect_set("no").alias(name))), "doc", "left").withColumn(name, F.coalesce(name, F.array().cast("array<int>")))
-    return out
-
-
-def broken_lines(docs: DataFrame, key: str, text: str, drop: DataFrame) -> DataFrame:
-    """(doc, no, line, next_no, next_first, head): lines that end inside a word, with the next line that is text.
-
-    Only a line's first word, and its last one where it ends in a break sign,
-    are put in order by a window over its text's lines.
-    """
-    rows = docs.select(F.col(key).alias("doc"), F.posexplode(F.split(text, r"[ \t\r]*\n")).alias("i", "line")).where((F.trim("line") != "") & ~(F.col("line").startswith("--- Page ") & F.col("line").rlike(MARKER)))
-    ends = F.right("line", F.lit(1)).isin("-", SHY, NOT_SIGN, chr(0x2010)) & F.col("line").rlike(rf"[\p{{L}}\d!]{BREAK}$")
-    slim = rows.select("doc", (F.col("i") + 1).alias("no"), F.substring_index(F.ltrim("line"), " ", 1).alias("first"), F.when(ends, F.substring_index("line", " ", -1)).alias("line"))
-    slim = slim.join(_small(drop), ["doc", "no"], "left_anti")
-    order = W.partitionBy("doc").orderBy("no")
-    led = slim.withColumn("next_no", F.lead("no").over(order)).withColumn("next_first", F.lead("first").over(order)).where("line IS NOT NULL AND next_no IS NOT NULL")
-    return led.select("doc", "no", "line", "next_no", "next_first", F.expr("substring(line, 1, length(line) - 1)").alias("head")).where(F.col("next_first").rlike(r"^[\p{L}\d!(]"))
+    often = lambda n: (F.col(n) >= RATIO * F.col("n")) & (share(n) <= SHARE / RATIO)
+    return halves.join(first, "a").where(often("n_a")).join(second, "b").where(often("n_b")).select("form", "n", "a", "b")
 
 
 def breaks(rows: DataFrame, forms: DataFrame) -> DataFrame:
     """Lines that end inside a word: (doc, no, next_no, sign, head, tail, joined, linked, best, belongs)."""
-    sign = F.regexp_extract("line", rf"({BREAK})$", 1)
-    ends = rows.select("doc", "no", "next_no", sign.alias("sign"), F.lower(F.regexp_replace("head", _TRIM, "")).alias("head"), F.lower(F.regexp_replace("next_first", _TRIM, "")).alias("tail"))
+    word = F.col("line")
+    ends = rows.select("doc", "no", "next_no", F.right(word, F.lit(1)).alias("sign"), form(F.substring(word, F.lit(1), F.length(word) - 1)).alias("head"), form(F.col("next_first")).alias("tail"))
     ends = ends.withColumn("joined", F.concat("head", "tail")).withColumn("linked", F.concat("head", F.lit("-"), "tail"))
     by = forms.groupBy("skel").agg(F.max("n_all").alias("n"), F.max_by("best", "n").alias("best"))
     by_j = by.select(F.col("skel").alias("sj"), F.col("n").alias("nj"), F.col("best").alias("best_joined"))
     by_l = by.select(F.col("skel").alias("sl"), F.col("n").alias("nl"), F.col("best").alias("best_linked"))
-    found = ends.withColumn("sj", skeleton(F.col("joined"))).withColumn("sl", skeleton(F.col("linked"))).join(by_j, "sj", "left").join(by_l, "sl", "left")
+    # the same broken words come again and again: each is looked up once
+    pairs = ends.select("joined", "linked").distinct().withColumn("sj", skeleton(F.col("joined"))).withColumn("sl", skeleton(F.col("linked"))).join(by_j, "sj", "left").join(by_l, "sl", "left")
+    found = ends.join(pairs, ["joined", "linked"])
     nj, nl = F.coalesce("nj", F.lit(0)), F.coalesce("nl", F.lit(0))
     number = F.col("head").rlike(r"\d$")
     belongs = (F.col("sign") == "-") & ((nl > nj) | ((nl == nj) & number))
     return found.select("doc", "no", "next_no", "sign", "head", "tail", "joined", "linked", F.when(belongs, F.col("best_linked")).otherwise(F.col("best_joined")).alias("best"), belongs.alias("belongs"))
 
 
-def analysed(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(furniture, misread forms with their right form, broken words) of cleaned texts."""
-    drop = materialize(furniture(docs, key, text))
-    counts = materialize(word_counts(docs, text))
+def analysed(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(furniture, misread forms with their right form, broken words, all tokens with their form) of distinct texts."""
+    drop, words, deepest = furniture(docs)
+    drop = materialize(drop)
+    bare = F.rtrim(F.ltrim("token", F.lit(OPENING)), F.lit(CLOSING))
+    tokens = words.where((bare != "") & ~bare.rlike(CODE)).select("token", form(F.col("token")).alias("form"), "n")
+    counts = materialize(tokens.groupBy("form").agg(F.sum("n").alias("n")))
     forms = materialize(judged_forms(counts))
-    ends = materialize(breaks(broken_lines(docs, key, text, drop), forms))
+    cut = broken_lines(docs, deepest).join(drop, ["doc", "no"], "left_anti").join(drop.select("doc", F.col("no").alias("next_no")), ["doc", "next_no"], "left_anti")
+    cut = cut.groupBy("doc", "no").agg(F.min("line").alias("line"), F.min(F.struct("next_no", "next_first")).alias("x")).select("doc", "no", "line", "x.next_no", "x.next_first")
+    ends = materialize(breaks(cut.where(F.col("next_first").rlike(r"^[\p{L}\d!(]")), forms))
     # rare forms, and broken words that are known neither joined nor linked, may hold a lost space
     good = counts.join(forms.where("is_misread").select("form"), "form", "left_anti")
     unknown = ends.where("best IS NULL").select(F.explode(F.array("joined", "linked")).alias("form")).distinct().join(counts, "form", "left_anti").withColumn("n", F.lit(0).cast("bigint"))
     parts = materialize(split_candidates(good.unionByName(unknown.select("form", "n")), good))
     contested = forms.where("contested").select("form", "best")
     ask = materialize(contested.select(F.col("form").alias("w"), F.col("form").alias("owner"), F.lit(True).alias("own")).unionByName(contested.select(F.col("best").alias("w"), F.col("form").alias("owner"), F.lit(False).alias("own"))))
-    seen, near = neighbours(docs, text, parts.select("a", "b"), ask)
+    seen = neighbours(docs, Filter(parts.select(crc(F.col("a"), F.col("b"))).distinct()), Filter(ask.select(crc(F.col("w"))).distinct()))
+    seen = materialize(seen.groupBy("a", "b").agg(F.sum("n").alias("m")))
     spaces = parts.join(seen, ["a", "b"]).where(F.col("m") >= F.greatest(F.lit(2), 2 * F.col("n")))
     spaces = materialize(spaces.groupBy("form").agg(F.max_by(F.concat_ws(" ", "a", "b"), F.struct("m", "a")).alias("best")))
+    near = seen.select(F.col("b").alias("w"), F.col("a").alias("l"), "m")
     misread = forms.where("is_misread").join(_own_words(ask, near), "form", "left_anti").select("form", "best")
     bad = misread.unionByName(spaces.join(counts, "form", "left_semi")).groupBy("form").agg(F.min("best").alias("best"))
     parted = spaces.join(counts, "form", "left_anti")
@@ -271,31 +535,27 @@ def analysed(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame
     ends = ends.join(whole[0], "joined", "left").join(whole[1], "linked", "left")
     ends = ends.withColumn("spaced", F.col("best").isNull() & (F.col("pj").isNotNull() | F.col("pl").isNotNull()))
     ends = ends.withColumn("belongs", F.col("belongs") | (F.col("spaced") & F.col("pj").isNull())).withColumn("best", F.coalesce("best", "pj", "pl")).drop("pj", "pl")
-    return drop, bad, materialize(ends)
+    return drop, materialize(bad), materialize(ends), tokens
 
 
 def _own_words(ask: DataFrame, near: DataFrame) -> DataFrame:
     """Contested forms whose left neighbours rarely come with the form they could stand for."""
     with_ = near.join(ask, "w")
     shared = with_.groupBy("owner", "l").agg(F.sum(F.when(F.col("own"), F.col("m"))).alias("mine"), F.sum(F.when(~F.col("own"), F.col("m"))).alias("theirs")).where("mine IS NOT NULL")
-    support = shared.groupBy("owner").agg((F.sum(F.when(F.col("theirs") >= F.col("mine"), F.col("mine")).otherwise(0)) / F.sum("mine")).alias("support"))
+    with_theirs = F.sum(F.when(F.col("theirs") >= F.col("mine"), F.col("mine")).otherwise(0))
+    support = shared.groupBy("owner").agg(((with_theirs + PRIOR) / (F.sum("mine") + PRIOR)).alias("support"))
     return support.where("support < 0.5").select(F.col("owner").alias("form"))
 
 
 def noise_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc, no, noise_kind) of every furniture, hyphen and misread line."""
-    docs = materialize(docs.where(F.col(text).isNotNull()).select(key, cleaned(F.col(text)).alias(text)))
-    drop, bad, ends = analysed(docs, key, text)
+    docs, copies = distinct_texts(docs, key, text)
+    drop, bad, ends, tokens = analysed(docs)
+    suspects = materialize(tokens.join(bad, "form", "left_semi").select("token"))
+    seen = seen_tokens(docs, Filter(suspects.select(crc(F.col("token"))))).join(suspects, "token", "left_semi")
     # a broken word is judged whole; its parts aren't words
-    heads, conts = ends.select("doc", "no"), ends.select("doc", F.col("next_no").alias("no"))
-    rows = _per_text(docs, key, text, gone=drop, heads=heads, conts=conts)
-    rows = rows.select("doc", "gone", "heads", "conts", F.posexplode("l").alias("i", "line")).where("line <> ''").withColumn("no", F.col("i") + 1)
-    tokens = F.split(F.trim("line"), r"\s+")
-    last = F.size(tokens) - F.array_contains("heads", F.col("no")).cast("int")
-    skip = F.array_contains("conts", F.col("no")).cast("int")
-    words = rows.where(~F.array_contains("gone", F.col("no"))).select("doc", "no", F.explode(F.slice(tokens, skip + 1, F.greatest(last - skip, F.lit(0)))).alias("t")).where(F.length("t") > 2)
-    forms = _small(bad.select("form"))
-    misread = words.select("doc", "no", F.lower("t").alias("form"), "t").join(forms, "form", "left_semi").where(~F.col("t").rlike(CODE)).select("doc", "no")
+    heads, conts = ends.select("doc", "no", F.lit(True).alias("at_end")), ends.select("doc", F.col("next_no").alias("no"), F.lit(True).alias("at_start"))
+    misread = seen.join(heads, ["doc", "no", "at_end"], "left_anti").join(conts, ["doc", "no", "at_start"], "left_anti").join(drop, ["doc", "no"], "left_anti").select("doc", "no")
     # which side of a broken word differs from the form it stands for
     whole = ends.where("best IS NOT NULL").withColumn("seen", F.when(F.col("belongs"), F.col("linked")).otherwise(F.col("joined"))).where("seen <> best")
     in_head = whole.where(~F.col("best").startswith(F.col("head"))).select("doc", "no")
@@ -304,7 +564,7 @@ def noise_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
         drop.withColumn("noise_kind", F.lit("furniture")), ends.where(~F.col("belongs")).select("doc", "no", F.lit("hyphen").alias("noise_kind")),
         misread.unionByName(in_head).unionByName(in_tail).distinct().withColumn("noise_kind", F.lit("misread")),
     ]
-    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
+    return for_copies(kinds[0].unionByName(kinds[1]).unionByName(kinds[2]), copies)
 
 
 def paragraphs(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -314,10 +574,10 @@ def paragraphs(docs: DataFrame, key: str, text: str) -> DataFrame:
     at a short line that has no sentence end, and where the line before ended
     a sentence well before the usual width.
     """
-    docs = docs.select(key, text).where(F.col(text).isNotNull())
-    drop, bad, ends = analysed(materialize(docs.select(key, cleaned(F.col(text)).alias(text))), key, text)
-    rows = lines(docs, key, text).join(drop, ["doc", "no"], "left_anti").join(ends.select("doc", "no", "head"), ["doc", "no"], "left")
-    bad = _small(bad)
+    docs, copies = distinct_texts(docs, key, text)
+    drop, bad, ends, _ = analysed(docs)
+    rows = lines(docs, "doc", "text").join(drop, ["doc", "no"], "left_anti").join(ends.select("doc", "no", "head"), ["doc", "no"], "left")
+    bad = _within(bad)
     order = W.partitionBy("doc").orderBy("no")
     width = F.percentile_approx(F.length("line"), 0.9).over(W.partitionBy("doc"))
     before, before_no = F.lag("line").over(order), F.lag("no").over(order)
@@ -326,14 +586,14 @@ def paragraphs(docs: DataFrame, key: str, text: str) -> DataFrame:
     starts = before.isNull() | F.col("line").startswith("  ") | (same_page & (F.col("no") - before_no > 1) & ended) | (ended & (F.length(before) < 0.6 * F.col("width"))) | (~before.rlike(r"[.,;\w]{2}$") & (F.length(before) < 0.4 * F.col("width"))) | (F.length(F.trim("line")) < 0.3 * F.col("width")) & ended
     numbered = rows.withColumn("width", width).withColumn("p", F.sum(F.coalesce(starts, F.lit(True)).cast("int")).over(order.rowsBetween(W.unboundedPreceding, 0)))
     tokens = numbered.select("doc", "no", "p", "head", F.posexplode(F.split(F.ltrim("line"), r"\s+")).alias("k", "t"))
-    fixed = tokens.withColumn("form", F.lower(F.regexp_replace("t", _TRIM, ""))).join(bad.withColumnRenamed("best", "right"), "form", "left")
-    lead = F.regexp_extract("t", r"^([(\[\"“‘'„*]*)", 1)
+    fixed = tokens.withColumn("form", form(F.col("t"))).join(bad.withColumnRenamed("best", "right"), "form", "left")
+    lead = F.regexp_extract("t", r"^([(\[\"“‘„*]*)", 1)
     trail = F.regexp_extract("t", r"([.,;:)\]\"”’'?*]*)$", 1)
-    cased = F.when(F.regexp_replace("t", _TRIM, "").rlike(r"^\p{Lu}"), F.concat(F.upper(F.substring("right", 1, 1)), F.expr("substring(right, 2)"))).otherwise(F.col("right"))
+    cased = F.when(F.ltrim("t", F.lit(OPENING)).rlike(r"^\p{Lu}"), F.concat(F.upper(F.substring("right", 1, 1)), F.expr("substring(right, 2)"))).otherwise(F.col("right"))
     word = F.when(F.col("right").isNull(), F.col("t")).otherwise(F.concat(lead, cased, trail))
     # words of one line are few; a paragraph's lines are joined in the order of (no, k)
     joined = fixed.groupBy("doc", "p", "no").agg(F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("k", word.alias("w")))), lambda x: x["w"])).alias("s"))
     with_end = joined.join(ends.select("doc", "no", "belongs"), ["doc", "no"], "left")
     piece = F.when(F.col("belongs").isNull(), F.concat("s", F.lit(" "))).when(F.col("belongs"), F.col("s")).otherwise(F.regexp_replace("s", rf"{BREAK}$", ""))
     out = with_end.groupBy("doc", "p").agg(F.trim(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("no", piece.alias("s")))), lambda x: x["s"]))).alias("text"))
-    return out.select("doc", F.col("p").cast("int").alias("paragraph_no"), "text")
+    return for_copies(out, copies).select("doc", F.col("p").cast("int").alias("paragraph_no"), "text")
