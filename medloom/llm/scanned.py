@@ -16,8 +16,8 @@ its space.  A break sign at a line's end belongs to the word only if the
 corpus writes the word with it.
 
 Every text is read four times as a whole, by Arrow batches: for the lines at
-page edges; for counts of words and of asked lines; for neighbours and broken
-words; for the words found misread.  Only counts, keys and the lines asked for
+page edges and the broken words; for counts of words and of asked lines; for
+neighbours; for the words found misread.  Only counts, keys and the lines asked for
 leave a pass.  What a pass asks for is named by a bit filter of bounded size;
 what slips through the filter is taken out by an exact join, so the filter
 never decides.  Texts that come again are counted and judged once.
@@ -151,15 +151,22 @@ def _plain(text: str) -> bytes:
 
 _LONE = re.compile(r"^[\dlI!Oo\s]*\d[\dlI!Oo\s]*$")
 _AS_DIGIT = str.maketrans("lI!Oo", "11100")
-EDGE = "doc long, page int, no int, top int, bottom int, key long, tail long, h_key long, h_tail long, lone long"
+_ENDS = re.compile(rf"[^\W_]{BREAK}$|!{BREAK}$")
+EDGE = "doc long, no int, page int, top int, bottom int, key long, tail long, h_key long, h_tail long, lone long, word string, next_no int, next_first string"
 
 
 def edges(docs: DataFrame, depth: int) -> DataFrame:
-    """(doc, page, no, top, bottom, key, tail, h_key, h_tail, lone): the lines within ``depth`` of a page's edges.
+    """Rows of two kinds, told apart by ``page``.
+
+    With a page: (doc, no, page, top, bottom, key, tail, h_key, h_tail, lone),
+    the lines within ``depth`` of a page's edges.  ``key`` stands for the
+    masked line and ``tail`` for its last two words (0 where it has no more),
+    ``h_key`` and ``h_tail`` for the plain writing, ``lone`` is the number
+    where the line is nothing else.
 
-    ``key`` stands for the masked line and ``tail`` for its last two words (0
-    where it has no more), ``h_key`` and ``h_tail`` for the plain writing,
-    ``lone`` is the number where the line is nothing else.
+    Without: (doc, no, word, next_no, next_first), the last word of every line
+    that ends in a break sign with the first word of each line that may go on:
+    those up to the first one that no furniture within ``depth`` reaches.
     """
 
     def work(ids: list, texts: list) -> pa.RecordBatch:
@@ -167,10 +174,9 @@ def edges(docs: DataFrame, depth: int) -> DataFrame:
         keys: list[int] = []
         for doc, text in zip(ids, texts):
             known: dict[str, tuple] = {}
-            for page, lines in enumerate(pages(text)):
+            parted = pages(text)
+            for page, lines in enumerate(parted[1:], 1):
                 n = len(lines)
-                if not page:
-                    continue
                 for i in range(n) if n <= 2 * depth else (*range(depth), *range(n - depth, n)):
                     no, line = lines[i]
                     if line not in known:
@@ -180,10 +186,24 @@ def edges(docs: DataFrame, depth: int) -> DataFrame:
                         known[line] = (_h("".join(words)), tail, *_plain_keys(_plain(line).strip(_EDGE_BYTES))), int(lone) if lone and len(lone) < 10 else None
                     k, lone = known[line]
                     keys += k
-                    out.append((doc, page, no, i + 1, n - i, lone))
-        doc, page, no, top, bottom, lone = zip(*out) if out else [[]] * 6
+                    out.append((doc, no, page, i + 1, n - i, lone, None, None, None))
+            flat = None
+            at = -1
+            for k, p in enumerate(parted):
+                for i, (no, line) in enumerate(p):
+                    at += 1
+                    if line[-1] in SIGNS and _ENDS.search(line):
+                        if flat is None:
+                            flat = [(m, after, min(j + 1, len(q) - j) if g else depth + 1) for g, q in enumerate(parted) for j, (m, after) in enumerate(q)]
+                        last = line.rsplit(None, 1)[-1]
+                        for next_no, after, edge in flat[at + 1 :]:
+                            keys += (0, 0, 0, 0)
+                            out.append((doc, no, None, None, None, None, last, next_no, after.split(None, 1)[0]))
+                            if edge > depth:
+                                break
+        doc, no, page, top, bottom, lone, word, next_no, first = zip(*out) if out else [[]] * 9
         k = _signed(keys).reshape(-1, 4)
-        return _batch(EDGE, [doc, page, no, top, bottom, k[:, 0], k[:, 1], k[:, 2], k[:, 3], lone])
+        return _batch(EDGE, [doc, no, page, top, bottom, k[:, 0], k[:, 1], k[:, 2], k[:, 3], lone, word, next_no, first])
 
     return _pass(docs, work, EDGE)
 
@@ -287,34 +307,6 @@ def neighbours(docs: DataFrame, pairs: Filter, contested: Filter) -> DataFrame:
     return _pass(docs, work, NEAR)
 
 
-BROKEN = "doc long, no int, line string, next_no int, next_first string"
-_ENDS = re.compile(rf"[^\W_]{BREAK}$|!{BREAK}$")
-_GOES_ON = re.compile(r"[^\W_]|[!(]")
-
-
-def broken_lines(docs: DataFrame, depth: int) -> DataFrame:
-    """(doc, no, line, next_no, next_first): the last word of lines that end in a break sign, with each line that may go on.
-
-    Those are the lines up to the first one deeper than ``depth`` in its page,
-    which no furniture reaches.
-    """
-
-    def work(ids: list, texts: list) -> pa.RecordBatch:
-        out = []
-        for doc, text in zip(ids, texts):
-            flat = [(no, line, min(i + 1, len(p) - i) if k else depth + 1) for k, p in enumerate(pages(text)) for i, (no, line) in enumerate(p)]
-            for j, (no, line, _) in enumerate(flat):
-                if line[-1] in SIGNS and _ENDS.search(line):
-                    last = line.rsplit(None, 1)[-1]
-                    for next_no, after, edge in flat[j + 1 :]:
-                        out.append((doc, no, last, next_no, after.split(None, 1)[0]))
-                        if edge > depth:
-                            break
-        return _batch(BROKEN, list(zip(*out)) if out else [[]] * 5)
-
-    return _pass(docs, work, BROKEN)
-
-
 SEEN = "doc long, no int, token string, at_start boolean, at_end boolean"
 
 
@@ -347,10 +339,9 @@ def _within(df: DataFrame, bytes_a_row: int = 64) -> DataFrame:
 def distinct_texts(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """((doc, text) of the first row of every text, (doc, key) of the other rows of that text)."""
     rows = docs.where(F.col(text).isNotNull()).select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    firsts = rows.select("key", F.md5(F.col("text").cast("binary")).alias("h")).groupBy("h").agg(F.min("key").alias("doc"), F.count("*").alias("n"))
-    again = firsts.where("n > 1").select("h", "doc")
-    hashed = rows.select("key", F.md5(F.col("text").cast("binary")).alias("h"))
-    copies = materialize(hashed.join(_within(materialize(again)), "h").where("key <> doc").select("doc", "key").distinct())
+    hashed = materialize(rows.select("key", F.md5(F.col("text").cast("binary")).alias("h")))
+    again = hashed.groupBy("h").agg(F.min("key").alias("doc"), F.count("*").alias("n")).where("n > 1").select("h", "doc")
+    copies = materialize(hashed.join(again, "h").where("key <> doc").select("doc", "key").distinct())
     return rows.join(_within(copies.select("key").distinct()), "key", "left_anti").select(F.col("key").alias("doc"), "text"), copies
 
 
@@ -384,13 +375,13 @@ def _asked(keyed: DataFrame, key: str) -> DataFrame:
 
 def _inside(keyed: DataFrame, key: str, stats: DataFrame, lines: DataFrame) -> DataFrame:
     """``stats`` with ``inside``: how often their lines stand elsewhere, over all writings of a masked key."""
-    writings = keyed.join(stats.select(key), key, "left_semi").groupBy(key, F.col(f"h_{key}").alias("line")).agg(F.count("*").alias("e"))
+    writings = keyed.join(_within(stats.select(key)), key, "left_semi").groupBy(key, F.col(f"h_{key}").alias("line")).agg(F.count("*").alias("e"))
     inside = writings.join(lines, "line").groupBy(key).agg(F.sum(F.greatest(F.col("n") - F.col("e"), F.lit(0))).alias("inside"))
     return stats.join(inside, key, "left").fillna(0, ["inside"])
 
 
-def furniture(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame, int]:
-    """((doc, no) of the running headers, footers and page numbers, (token, n) of all words, the deepest such line).
+def furniture(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """((doc, no) of the running headers, footers and page numbers, (token, n) of all words, the broken lines).
 
     A line stands at edges by more than chance if it does so as often as no
     line would that has its places at random: fewer than one of all the
@@ -399,7 +390,9 @@ def furniture(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame
     corpus only.
     """
     near = F.least("top", "bottom") <= 2
-    every = materialize(edges(docs, depth)).withColumn("outer", (F.col("top") == 1) | (F.col("bottom") == 1))
+    both = materialize(edges(docs, depth))
+    broken = both.where("page IS NULL").select("doc", "no", F.col("word").alias("line"), "next_no", "next_first")
+    every = both.where("page IS NOT NULL").drop("word", "next_no", "next_first").withColumn("outer", (F.col("top") == 1) | (F.col("bottom") == 1))
     keyed = every.where(near)
     by_key, by_tail = _asked(keyed, "key"), _asked(keyed, "tail")
     size = every.agg(F.sum(F.when(F.col("top") == 1, F.col("top") + F.col("bottom") - 1)).alias("lines"), F.count_if(near).alias("near")).first()
@@ -413,7 +406,8 @@ def furniture(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame
     asked = {k: df.where((F.col("e") >= often[k]) | (F.lit(k == "key") & (F.col("pages") >= 2))) for k, df in stats.items()}
     deeper = every.where(~near)
     inner = deeper.groupBy("key").agg(F.count("*").alias("e")).where("e >= 2").select("key")
-    wanted = [keyed.join(asked[k], k, "left_semi").select(F.col(f"h_{k}").alias("k")).distinct() for k in stats] + [deeper.join(inner, "key", "left_semi").select(F.col("h_key").alias("k")).distinct()]
+    asked = {k: materialize(df) for k, df in asked.items()}
+    wanted = [keyed.join(_within(asked[k].select(k)), k, "left_semi").select(F.col(f"h_{k}").alias("k")).distinct() for k in stats] + [deeper.join(_within(inner), "key", "left_semi").select(F.col("h_key").alias("k")).distinct()]
     counted = materialize(counts(docs, Filter(materialize(wanted[0].unionByName(wanted[1]).unionByName(wanted[2])))))
     lines = materialize(counted.where("line IS NOT NULL").groupBy("line").agg(F.sum("n").alias("n")))
     words = materialize(counted.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")))
@@ -426,9 +420,10 @@ def furniture(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame
     series = ["doc", (F.col("lone") - F.col("page")).alias("s"), (F.col("top") == 1).alias("t")]
     counting = lone.select(*series).groupBy("doc", "s", "t").agg(F.count("*").alias("c")).where("c >= 2")
     place = ["doc", "no", "page", "top", "bottom"]
+    small = lambda df: _within(materialize(df))
     parts = [
-        keyed.join(never, "key", "left_semi"), keyed.where("outer").join(ending, "tail", "left_semi"), keyed.where("lone IS NULL OR NOT outer").join(again, ["key", "doc"], "left_semi"),
-        lone.withColumn("s", series[1]).withColumn("t", series[2]).join(counting, ["doc", "s", "t"], "left_semi"),
+        keyed.join(small(never), "key", "left_semi"), keyed.where("outer").join(small(ending), "tail", "left_semi"), keyed.where("lone IS NULL OR NOT outer").join(small(again), ["key", "doc"], "left_semi"),
+        lone.withColumn("s", series[1]).withColumn("t", series[2]).join(small(counting), ["doc", "s", "t"], "left_semi"),
     ]
     drop = parts[0].select(*place)
     for p in parts[1:]:
@@ -449,7 +444,7 @@ def furniture(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame
         drop, deepest = materialize(drop.unionByName(more)), d
     if deepest == depth:
         return furniture(docs, 2 * depth)
-    return drop.select("doc", "no").distinct(), words, deepest
+    return drop.select("doc", "no").distinct(), words, broken
 
 
 #: Codes of upper-case letters and digits, and bare numbers with signs, are no words to repair.
@@ -508,13 +503,13 @@ def breaks(rows: DataFrame, forms: DataFrame) -> DataFrame:
 
 def analysed(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(furniture, misread forms with their right form, broken words, all tokens with their form) of distinct texts."""
-    drop, words, deepest = furniture(docs)
+    drop, words, cut = furniture(docs)
     drop = materialize(drop)
     bare = F.rtrim(F.ltrim("token", F.lit(OPENING)), F.lit(CLOSING))
     tokens = words.where((bare != "") & ~bare.rlike(CODE)).select("token", form(F.col("token")).alias("form"), "n")
     counts = materialize(tokens.groupBy("form").agg(F.sum("n").alias("n")))
     forms = materialize(judged_forms(counts))
-    cut = broken_lines(docs, deepest).join(drop, ["doc", "no"], "left_anti").join(drop.select("doc", F.col("no").alias("next_no")), ["doc", "next_no"], "left_anti")
+    cut = cut.join(drop, ["doc", "no"], "left_anti").join(drop.select("doc", F.col("no").alias("next_no")), ["doc", "next_no"], "left_anti")
     cut = cut.groupBy("doc", "no").agg(F.min("line").alias("line"), F.min(F.struct("next_no", "next_first")).alias("x")).select("doc", "no", "line", "x.next_no", "x.next_first")
     ends = materialize(breaks(cut.where(F.col("next_first").rlike(r"^[\p{L}\d!(]")), forms))
     # rare forms, and broken words that are known neither joined nor linked, may hold a lost space
@@ -552,7 +547,7 @@ def noise_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     docs, copies = distinct_texts(docs, key, text)
     drop, bad, ends, tokens = analysed(docs)
     suspects = materialize(tokens.join(bad, "form", "left_semi").select("token"))
-    seen = seen_tokens(docs, Filter(suspects.select(crc(F.col("token"))))).join(suspects, "token", "left_semi")
+    seen = seen_tokens(docs, Filter(suspects.select(crc(F.col("token"))))).join(_within(suspects), "token", "left_semi")
     # a broken word is judged whole; its parts aren't words
     heads, conts = ends.select("doc", "no", F.lit(True).alias("at_end")), ends.select("doc", F.col("next_no").alias("no"), F.lit(True).alias("at_start"))
     misread = seen.join(heads, ["doc", "no", "at_end"], "left_anti").join(conts, ["doc", "no", "at_start"], "left_anti").join(drop, ["doc", "no"], "left_anti").select("doc", "no")
