@@ -1,7 +1,8 @@
 """Deeply nested records turned into related flat tables.
 
-``child_links`` walks the schema of nested columns and lists every child object
-with the position it has in its parent, in one scan and without a shuffle;
+``child_links`` infers the array levels of a nested column and lists every child
+object with the positions it has at each level, in one scan and without a
+shuffle;
 ``child_tables`` gives the children themselves with all their scalar fields and
 the parent's surrogate key.  JSON text is first parsed to variants;
 ``infer_levels`` merges the schemas of all its rows.
@@ -15,13 +16,12 @@ of parent and child fields never clash, as a child's fields are prefixed.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LINK = "array<struct<child_kind:string,pos1:int,pos2:int>>"
-
 
 def json_objects(text: Column) -> Column:
     """JSON text as an array of variants; a lone object becomes an array of one.
@@ -43,36 +43,61 @@ def is_object(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
-def _links(kind: str, outer: Column, keep, inner: dict[str, "callable"]) -> Column:
-    """Links of one outer array and of the inner arrays of its elements."""
-    none = F.lit(None).cast("struct<child_kind:string,pos1:int,pos2:int>")
+def struct_levels(element: T.StructType) -> dict[tuple[str, ...], dict]:
+    """The array levels below a struct, at any depth: field path -> the levels below its elements.
+
+    Structs of one are walked through; arrays of scalars are no level.
+    """
+    out = {}
+    for f in element.fields:
+        if isinstance(f.dataType, T.StructType):
+            out |= {(f.name, *path): below for path, below in struct_levels(f.dataType).items()}
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
+            out[(f.name,)] = struct_levels(f.dataType.elementType)
+    return out
 
-    def link(name: str, i, j) -> Column:
-        return F.struct(F.lit(name).alias("child_kind"), i.cast("int").alias("pos1"), j.cast("int").alias("pos2"))
 
-    def below(name: str, array: Column, i) -> Column:
-        return F.transform(F.coalesce(array, F.array()), lambda x, j: F.when(keep(x), link(name, i, j)).otherwise(none))
+def json_levels(df: DataFrame, column: str) -> dict[tuple[str, ...], dict]:
+    """The same of JSON text, from the schema merged over all its rows."""
 
-    def of(e, i):
-        own = F.array(F.when(keep(e), link(kind, i, F.lit(-1))).otherwise(none))
-        return F.when(keep(e), F.concat(own, *[below(n, get(e), i) for n, get in inner.items()]) if inner else own)
+    def walk(rows: DataFrame) -> dict:
+        repeated = sorted(_merged(rows)[1])
+        below = {f: variant_array(F.try_variant_get("element", f"$['{f}']", "variant")) for f in repeated}
+        return {(f,): walk(rows.select(F.explode(v).alias("element")).where(is_object(F.col("element")))) for f, v in below.items()}
 
-    return F.filter(F.flatten(F.filter(F.transform(outer, of), lambda x: x.isNotNull())), lambda x: x.isNotNull())
+    return walk(df.select(F.explode(json_objects(F.col(column))).alias("element")).where(is_object(F.col("element"))))
 
 
-def child_links(df: DataFrame, key: str, column: str, kind: str, inner: dict[str, str] | None = None, is_json: bool = False) -> DataFrame:
-    """(row_id, child_kind, pos1, pos2) of each child object of ``column``.
+def child_links(df: DataFrame, key: str, column: str, levels: dict | None = None) -> DataFrame:
+    """(row_id, label, path) of each child object of ``column`` at any depth.
 
-    ``inner`` maps the kind of a second level to its field name.  One narrow
-    pass: each level's arrays become arrays of links, which are exploded once.
+    ``label`` is the dotted path of array fields from ``column`` on, ``path``
+    the child's 0-based position at each level from the outermost: with the
+    key it is the child's surrogate key, and without its last position its
+    parent's.  Levels are inferred from the schema (of JSON text: merged over
+    all rows) unless given.  One narrow pass: each level's arrays become
+    arrays of links, which are exploded once.
     """
-    if is_json:
-        outer = json_objects(F.col(column))
-        keep, get = is_object, lambda f: lambda e: variant_array(F.try_variant_get(e, f"$.{f}", "variant"))
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.StringType):
+        levels = json_levels(df, column) if levels is None else levels
+        outer, keep = json_objects(F.col(column)), is_object
+        get = lambda e, path: variant_array(F.try_variant_get(e, "$" + "".join(f"['{f}']" for f in path), "variant"))
     else:
-        outer, keep, get = F.col(column), lambda e: e.isNotNull(), lambda f: lambda e: e[f]
-    links = _links(kind, outer, keep, {n: get(f) for n, f in (inner or {}).items()})
-    return df.select(F.col(key).alias("row_id"), F.explode(links).alias("link")).select("row_id", "link.*")
+        levels = struct_levels(kind.elementType) if levels is None else levels
+        outer, keep = F.col(column), lambda e: e.isNotNull()
+        get = lambda e, path: reduce(lambda c, f: c[f], path, e)
+
+    def links(label: str, array: Column, below: dict, above: list) -> Column:
+        def of(e: Column, i: Column) -> Column:
+            here = [*above, i.cast("int")]
+            own = F.array(F.struct(F.lit(label).alias("label"), F.array(*here).alias("path")))
+            inner = [links(".".join([label, *path]), get(e, path), rest, here) for path, rest in below.items()]
+            return F.when(keep(e), F.concat(own, *inner) if inner else own)
+
+        return F.flatten(F.filter(F.transform(F.coalesce(array, F.array()), of), lambda x: x.isNotNull()))
+
+    return df.select(F.col(key).alias("row_id"), F.explode(links(column, outer, levels, [])).alias("link")).select("row_id", "link.*")
 
 
 def _flat(schema: T.StructType, path: Column, prefix: str) -> tuple[list[Column], list[tuple[str, Column, T.DataType]]]:
@@ -123,6 +148,12 @@ def _array_fields(objects: DataFrame, fields: list[str]) -> set[str]:
     return {f for i, f in enumerate(fields) if seen[i]}
 
 
+def _merged(objects: DataFrame) -> tuple[dict[str, str], set[str]]:
+    """The fields of all objects with their merged types, and those that repeat."""
+    fields = _object_fields(objects.agg(F.schema_of_variant_agg(F.col("element"))).first()[0] or "")
+    return fields, _array_fields(objects, [f for f, t in fields.items() if t.startswith(("ARRAY", "VARIANT"))])
+
+
 def infer_levels(df: DataFrame, key: str, column: str) -> dict[str, DataFrame]:
     """Child tables of JSON text under the schema merged over all its rows.
 
@@ -133,13 +164,8 @@ def infer_levels(df: DataFrame, key: str, column: str) -> dict[str, DataFrame]:
     """
     out: dict[str, DataFrame] = {}
 
-    def fields_of(rows: DataFrame, value: Column) -> dict[str, str]:
-        merged = rows.agg(F.schema_of_variant_agg(value)).first()[0] or ""
-        return _object_fields(merged)
-
     def walk(rows: DataFrame, label: str) -> None:
-        fields = fields_of(rows, F.col("element"))
-        repeated = _array_fields(rows, [f for f, t in fields.items() if t.startswith(("ARRAY", "VARIANT"))])
+        fields, repeated = _merged(rows)
         cols = []
         for f, t in sorted(fields.items()):
             if f in repeated:

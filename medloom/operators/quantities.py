@@ -7,7 +7,8 @@ decimals; such readings are decided together over the physical identities that
 tie the columns of a record: the dose equals a small multiple of the strength
 it is given in, and a dose of mass equals concentration times volume.  The
 combination with the least log residual plus the cost of an unusual spelling
-wins; ``is_unique`` is false where another one is as good.
+wins; ``is_unique`` is false where another one is as good, or where no partner
+tests them.
 
 Slices of the context are cut by built-in expressions; the grammar itself runs
 in an Arrow UDF, as its alternatives nest too deeply for one generated
@@ -165,21 +166,50 @@ def readings(statement: str) -> tuple[tuple[float, int, str], ...]:
     return tuple(out)
 
 
+#: Residual of a reading that no identity reaches, and the difference below which two readings are as good.
+FAR, SAME = 3.0, 0.1
+
+
+def residual(c: tuple, partners: list) -> float:
+    """Least absolute log residual of a reading over the identities of a record.
+
+    An amount is a small multiple of another of its kind; mass = concentration
+    x volume, whichever of the three the reading is; a share or a time is the
+    other statement of it.  ``partners`` are readings (penalty, amount, unit).
+    """
+    _, amount, unit = c
+    out = [abs(math.log(amount / (n * p[1]))) + p[0] for p in partners if p[2] == unit for n in ((1.0,) if unit in ("per_billion", "month") else _MULTIPLES)]
+    parts = {"ug": ("ug/mL", "uL"), "ug/mL": ("ug", "uL"), "uL": ("ug", "ug/mL")}.get(unit)
+    if parts:
+        for p in partners:
+            for q in partners:
+                if (p[2], q[2]) == parts:
+                    # ug = ug/mL x uL / 1000
+                    expected = p[1] * q[1] / 1e3 if unit == "ug" else 1e3 * p[1] / q[1]
+                    out.append(abs(math.log(amount / expected)) + p[0] + q[0])
+    return min([FAR, *out])
+
+
 def pick(cands: tuple, partners: list) -> dict | None:
-    """The combination with the least log residual against the partners' readings."""
+    """The reading with the least log residual against the partners' readings, plus its penalty.
+
+    ``is_unique`` is false where several readings are whole and no identity
+    tells them apart.
+    """
     if not cands:
         return None
+    tested = [(residual(c, partners) if len(cands) > 1 else 0.0, c) for c in cands]
+    costs = sorted((c[0] + r, c[1], c[2]) for r, c in tested)
+    told = len(cands) < 2 or (min(r for r, _ in tested) < FAR and costs[1][0] - costs[0][0] > SAME)
+    return {"common_amount": costs[0][1], "common_unit": costs[0][2], "is_unique": told, "log_residual": costs[0][0]}
 
-    def residual(c: tuple) -> float:
-        kin = [min(abs(math.log(c[1] / (n * p[1]))) for n in _MULTIPLES) + p[0] for p in partners if p[2] == c[2] and c[2] in ("ug", "IU")]
-        return min(3.0, *kin, 3.0)
-
-    costs = sorted((c[0] + (residual(c) if len(cands) > 1 else 0.0), c[1], c[2]) for c in cands)
-    return {"common_amount": costs[0][1], "common_unit": costs[0][2], "is_unique": len(costs) < 2 or costs[1][0] - costs[0][0] > 0.1, "log_residual": costs[0][0]}
 
+def read_drug(text: str | None, ahead: str | None, before: str | None, around: str | None, columns: list | None = None) -> dict | None:
+    """The drug amount that ``text`` states.
 
-def read_drug(text: str | None, ahead: str | None, before: str | None, around: str | None) -> dict | None:
-    """The drug amount that ``text`` states; ``ahead`` is the context from its place on."""
+    ``ahead`` is the context from its place on; its partners are the amounts
+    of the record's other columns (``columns``) and those written ``around`` it.
+    """
     t = amount_text(text)
     if _BARE.fullmatch(t):
         m = _AHEAD.match(tidy(ahead)) if ahead and ahead.startswith(text) and not _LIMIT.search(tidy(before)) else None
@@ -192,24 +222,32 @@ def read_drug(text: str | None, ahead: str | None, before: str | None, around: s
         found = _DRUGS.findall(tidy(around))
         if t in found:  # the amount itself
             found.remove(t)
-        others = [r for x in found for r in readings(x)]
+        found += [amount_text(x) for x in (columns if columns is not None else [])]
+        others = [r for x in dict.fromkeys(found) for r in readings(x)]
     return pick(cands, others)
 
 
 def read_population(value: str | None, context: str | None) -> dict | None:
-    """The population share or time that ``value`` states, its unit looked up in ``context``."""
+    """The population share or time that ``value`` states, its unit looked up in ``context``; partners are the others stated there."""
     t = amount_text(value)
+    found = None
     if _BARE.fullmatch(t):
-        t = next((x for x in _EPI.findall(tidy(context)) if t in (_BARE.match(x)[0], re.match(NUM, x)[0])), "")
-    return pick(readings(t), [])
+        found = _EPI.findall(tidy(context))
+        t = next((x for x in found if t in (_BARE.match(x)[0], re.match(NUM, x)[0])), "")
+    cands = readings(t)
+    others = []
+    if len(cands) > 1:
+        found = _EPI.findall(tidy(context)) if found is None else found
+        others = [r for x in found if x.strip() != t.strip() for r in readings(x)]
+    return pick(cands, others)
 
 
 READ = T.StructType().add("common_amount", T.LongType()).add("common_unit", T.StringType()).add("is_unique", T.BooleanType()).add("log_residual", T.DoubleType())
 
 
 @F.pandas_udf(READ)
-def _read_drug(text: pd.Series, ahead: pd.Series, before: pd.Series, around: pd.Series) -> pd.DataFrame:
-    return _frame(map(read_drug, text, ahead, before, around))
+def _read_drug(text: pd.Series, ahead: pd.Series, before: pd.Series, around: pd.Series, columns: pd.Series) -> pd.DataFrame:
+    return _frame(map(read_drug, text, ahead, before, around, columns))
 
 
 @F.pandas_udf(READ)
@@ -226,24 +264,40 @@ def _frame(rows) -> pd.DataFrame:
 COLUMNS = ["row_id", "field_name", "item_pos", "common_amount", "common_unit", "is_unique", "log_residual"]
 
 
-def array_quantities(df: DataFrame, key: str, fields: list[str], context: str, near: int = 90) -> DataFrame:
+#: Characters that an amount may reach beyond its number: more than the longest unit of the grammar has.
+LONGEST_UNIT = 60
+
+
+def array_quantities(df: DataFrame, key: str, fields: list[str], context: str, partners: list[str] | None = None, near: int = 90) -> DataFrame:
     """Amounts of the elements of entity arrays (``text``, ``start_pos``).
 
     Columns: row_id, field_name, item_pos, common_amount, common_unit,
-    is_unique, log_residual.  An element's partners are the elements of the
-    other fields that start within ``near`` characters of it.
+    is_unique, log_residual.  An element that has several readings is tied to
+    the elements nearest to it in each of the record's other columns
+    (``partners``; the fields themselves unless given) and to the amounts
+    written within ``near`` characters of it.
     """
+    partners = fields if partners is None else partners
     items = F.flatten(F.array(*[F.transform(F.coalesce(F.col(f), F.array()), _item(f)) for f in fields]))
-    flat = df.select(F.col(key).alias("row_id"), F.col(context).alias("_context"), F.explode(items).alias("_e"))
+    flat = df.select(F.col(key).alias("row_id"), F.col(context).alias("_context"), *[F.col(p).alias(f"_p_{p}") for p in partners], F.explode(items).alias("_e"))
     flat = flat.where(F.col("_e.text").isNotNull())
+    several = F.col("_e.text").contains(",")
+    nearest = [_nearest(F.col(f"_p_{p}"), F.col("_e.start_pos"), F.col("_e.field") != p) for p in partners]
+    columns = F.when(several, F.filter(F.array(*nearest), lambda x: x.isNotNull())) if partners else F.lit(None).cast("array<string>")
     start, n = F.col("_e.start_pos"), F.length("_e.text")
-    ahead = F.substring(F.col("_context"), start + 1, n + 60)
+    ahead = F.substring(F.col("_context"), start + 1, n + LONGEST_UNIT)
     before = F.substring(F.col("_context"), F.greatest(start - 14, F.lit(1)), F.least(F.lit(15), start))
-    around = F.when(F.col("_e.text").contains(","), F.substring(F.col("_context"), F.greatest(start - near, F.lit(1)), F.lit(2 * near)))
-    read = flat.select("row_id", F.col("_e.field").alias("field_name"), F.col("_e.pos").alias("item_pos"), _read_drug(F.col("_e.text"), ahead, before, around).alias("_r"))
+    around = F.when(several, F.substring(F.col("_context"), F.greatest(start - near, F.lit(1)), F.lit(2 * near)))
+    read = flat.select("row_id", F.col("_e.field").alias("field_name"), F.col("_e.pos").alias("item_pos"), _read_drug(F.col("_e.text"), ahead, before, around, columns).alias("_r"))
     return read.where(F.col("_r.common_amount").isNotNull()).select("row_id", "field_name", "item_pos", "_r.*")
 
 
+def _nearest(array: Column, start: Column, other: Column) -> Column:
+    """The text of the element that starts nearest to ``start``, of another column only."""
+    away = F.transform(F.filter(F.coalesce(array, F.array()), lambda x: x["text"].isNotNull()), lambda x: F.struct(F.abs(F.coalesce(x["start_pos"], F.lit(1 << 30)) - F.coalesce(start, F.lit(0))).alias("d"), x["text"].alias("t")))
+    return F.when(other, F.array_min(away)["t"])
+
+
 def _item(field: str):
     return lambda x, i: F.struct(F.lit(field).alias("field"), i.cast("int").alias("pos"), x["text"].alias("text"), x["start_pos"].alias("start_pos"))
 

@@ -24,18 +24,32 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return p3_quantities(spark, d).select("table_name", "row_id", "field_name", "item_pos", "common_amount", "common_unit")
 
 
+#: Names of the levels that the schemas turn out to have.
+KINDS = {
+    "gene_candidates": ("candidate_id", {"identifiers": "identifier"}),
+    "extraction_results": ("result_id", {"genes": "gene", "genes.identifiers": "gene_identifier", "genes.supporting_evidence": "gene_evidence", "genes.associated_diseases": "gene_disease"}),
+    "zeroshot_results": ("result_id", {"raw_entities": "raw_entity", "raw_entities.attributes": "raw_attribute"}),
+}
+
+
+def p6_links(spark: SparkSession, d: str) -> DataFrame:
+    """Every child object of the inferred levels, whatever their names and depth, with its path."""
+    parts = []
+    for name, (key, kinds) in KINDS.items():
+        column = next(iter(kinds)).split(".")[0]
+        links = child_links(table(spark, d, name, key, column), key, column)
+        parts.append(links.select(F.lit(name).alias("table_name"), "row_id", "label", "path"))
+    return union_all(parts)
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    genes = {"gene_identifier": "identifiers", "gene_evidence": "supporting_evidence", "gene_disease": "associated_diseases"}
-    parts = {
-        "gene_candidates": child_links(table(spark, d, "gene_candidates", "candidate_id", "identifiers"), "candidate_id", "identifiers", "identifier"),
-        "extraction_results": child_links(table(spark, d, "extraction_results", "result_id", "genes"), "result_id", "genes", "gene", genes),
-        "zeroshot_results": child_links(table(spark, d, "zeroshot_results", "result_id", "raw_entities"), "result_id", "raw_entities", "raw_entity", {"raw_attribute": "attributes"}, is_json=True),
-    }
-    return union_all([df.select(F.lit(t).alias("table_name"), "row_id", "child_kind", "pos1", "pos2") for t, df in parts.items()])
+    names = F.create_map(*[F.lit(x) for t, (_, kinds) in KINDS.items() for label, kind in kinds.items() for x in (label, kind)])
+    links = p6_links(spark, d).withColumn("child_kind", names[F.col("label")]).where("child_kind IS NOT NULL")
+    return links.select("table_name", "row_id", "child_kind", F.col("path")[0].alias("pos1"), F.coalesce(F.try_element_at("path", F.lit(2)), F.lit(-1)).alias("pos2"))
 
 
 def p6_genes(spark: SparkSession, d: str) -> DataFrame:
-    return child_tables(table(spark, d, "extraction_results", "result_id", "genes"), "result_id", "genes")["genes"].drop("f_pages_mentioned")
+    return child_tables(table(spark, d, "extraction_results", "result_id", "genes"), "result_id", "genes")["genes"]
 
 
 def p6_gene_evidence(spark: SparkSession, d: str) -> DataFrame:
@@ -62,7 +76,7 @@ def p6_raw_attributes(spark: SparkSession, d: str) -> DataFrame:
     return infer_levels(table(spark, d, "zeroshot_results", "result_id", "raw_entities"), "result_id", "raw_entities")["raw_entities.attributes"]
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_quantities, p6_found, p6_genes, p6_gene_evidence, p6_gene_identifiers, p6_gene_diseases, p6_candidate_identifiers, p6_raw_entities, p6_raw_attributes)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_quantities, p6_found, p6_links, p6_genes, p6_gene_evidence, p6_gene_identifiers, p6_gene_diseases, p6_candidate_identifiers, p6_raw_entities, p6_raw_attributes)}
 
 _EACH = "unnest(range(len({0}))) AS {1}(i)"
 
@@ -84,7 +98,7 @@ UNION ALL SELECT 'zeroshot_results', result_id, 'raw_attribute', b.i::INT, u.i::
     "p6_genes": """
 SELECT result_id AS parent_key, '' AS parent_path, i::INT AS pos, g.candidate_id AS f_candidate_id, g.matched_text AS f_matched_text, g.hgnc_symbol AS f_hgnc_symbol, g.is_alias AS f_is_alias,
 g.primary_evidence.quote_text AS f_primary_evidence_quote_text, g.primary_evidence.scope_ref AS f_primary_evidence_scope_ref, g.primary_evidence.loc.page_num AS f_primary_evidence_loc_page_num,
-g.primary_evidence.loc.block_id AS f_primary_evidence_loc_block_id, g.status AS f_status, g.confidence_score AS f_confidence_score
+g.primary_evidence.loc.block_id AS f_primary_evidence_loc_block_id, g.status AS f_status, g.confidence_score AS f_confidence_score, g.pages_mentioned AS f_pages_mentioned
 FROM (SELECT result_id, i, genes[i + 1] AS g FROM extraction_results, unnest(range(len(genes))) AS u(i)) WHERE g IS NOT NULL""",
     "p6_gene_evidence": """
 WITH g AS (SELECT result_id, i, genes[i + 1] AS g FROM extraction_results, unnest(range(len(genes))) AS u(i)),

@@ -3,27 +3,37 @@ import json
 from medloom.operators.nested import child_links, child_tables, infer_levels
 
 
-def links(spark, texts, inner=None):
-    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "id bigint, j string, pos1 string")
-    return sorted(tuple(r) for r in child_links(df, "id", "j", "raw", inner or {"attr": "b"}, True).collect())
+def links(spark, texts, levels=None):
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "id bigint, j string, label string")
+    return sorted((r.row_id, r.label, tuple(r.path)) for r in child_links(df, "id", "j", levels).collect())
 
 
 def test_json_edge_cases(spark):
     texts = [None, "", " ", "null", "3", '"x"', "[]", "{}", '[{"a":1}] tail', '{"a":1},{"a":2}', '[{"a":1}', "{'a':1}"]
-    assert links(spark, texts) == [(7, "raw", 0, -1)]
+    assert links(spark, texts) == [(7, "j", (0,))]
 
 
 def test_positions_nulls_and_lone_objects(spark):
     got = links(spark, ['[{"a":1},null,3,{"b":[{"c":1},null,{"c":2}]}]', '{"b":{"c":1}}', '[{"b":null},{"b":[]},{"b":5}]'])
-    assert got == [(0, "attr", 3, 0), (0, "attr", 3, 2), (0, "raw", 0, -1), (0, "raw", 3, -1), (1, "attr", 0, 0), (1, "raw", 0, -1), (2, "raw", 0, -1), (2, "raw", 1, -1), (2, "raw", 2, -1)]
+    assert got == [(0, "j", (0,)), (0, "j", (3,)), (0, "j.b", (3, 0)), (0, "j.b", (3, 2)), (1, "j", (0,)), (1, "j.b", (0, 0)), (2, "j", (0,)), (2, "j", (1,)), (2, "j", (2,))]
+
+
+def test_levels_are_inferred_at_any_depth(spark):
+    deep = json.dumps([{"a": [{"b": [{"c": 1}, None, {"c": [{"d": 2}]}]}]}])
+    got = links(spark, [deep, None])
+    assert got == [(0, "j", (0,)), (0, "j.a", (0, 0)), (0, "j.a.b", (0, 0, 0)), (0, "j.a.b", (0, 0, 2)), (0, "j.a.b.c", (0, 0, 2, 0))]
+    schema = "id bigint, g array<struct<s:struct<i:array<struct<c:int,e:array<struct<x:int>>>>>,n:array<int>>>"
+    df = spark.createDataFrame([(1, [(([(7, [(1,), None])],), [1])])], schema)
+    assert sorted((r.label, tuple(r.path)) for r in child_links(df, "id", "g").collect()) == [("g", (0,)), ("g.s.i", (0, 0)), ("g.s.i.e", (0, 0, 0))]
 
 
 def test_struct_arrays_and_empty_table(spark):
-    schema = "id bigint, g array<struct<n:string,i:array<struct<c:int>>>>, link string"
+    schema = "id bigint, g array<struct<n:string,i:array<struct<c:int>>>>, path string"
     df = spark.createDataFrame([(1, [("a", [(1,), None]), None, ("b", None)], "z"), (2, None, None), (3, [], None)], schema)
-    got = sorted(tuple(r) for r in child_links(df, "id", "g", "gene", {"ident": "i"}).collect())
-    assert got == [(1, "gene", 0, -1), (1, "gene", 2, -1), (1, "ident", 0, 0)]
-    assert child_links(df.limit(0), "id", "g", "gene", {"ident": "i"}).count() == 0
+    got = sorted((r.row_id, r.label, tuple(r.path)) for r in child_links(df, "id", "g").collect())
+    assert got == [(1, "g", (0,)), (1, "g", (2,)), (1, "g.i", (0, 0))]
+    assert child_links(df.limit(0), "id", "g").count() == 0
+    assert links(spark, []) == []
 
 
 def test_child_tables_keep_parent_path(spark):

@@ -45,3 +45,19 @@ def test_unit_from_context_and_nulls(spark):
 def test_value_from_text(spark):
     df = spark.createDataFrame([(1, "2,5", "type 2 was 2,5 per 100,000 in X."), (2, None, "x"), (3, "7", None)], "id bigint, v string, t string")
     assert [tuple(r)[:5] for r in value_quantities(df, "id", F.col("v"), "t", "v").collect()] == [(1, "v", 0, 25000, "per_billion")]
+
+
+def test_mass_is_concentration_times_volume():
+    # 1,126 mg are 1.126 g or 1.126 mg; 2 mL of 0.563 mg/mL make 1.126 mg
+    alone = read_drug("1,126 mg", None, None, None)
+    assert alone["common_amount"] == 1126000 and not alone["is_unique"]
+    tied = read_drug("1,126 mg", None, None, None, ["0.563 mg/mL", "2 mL"])
+    assert tied["common_amount"] == 1126 and tied["is_unique"] and tied["log_residual"] < alone["log_residual"] + 3
+
+
+def test_other_columns_of_the_record_decide(spark):
+    ent = "array<struct<text:string,start_pos:int>>"
+    rows = [(1, "x", [("1,125 mg", 0)], [("1.125 mg", 300), ("7 mg", 900)]), (2, "x", [("1,125 mg", 0)], None)]
+    df = spark.createDataFrame(rows, f"id bigint, src string, d {ent}, s {ent}")
+    got = {r.row_id: (r.common_amount, r.is_unique) for r in array_quantities(df, "id", ["d", "s"], "src").where("field_name = 'd'").collect()}
+    assert got == {1: (1125, True), 2: (1125000, False)}
