@@ -41,12 +41,19 @@ def _records(spark: SparkSession, d: str):
 
 def p1_survivors(spark: SparkSession, d: str) -> DataFrame:
     """The surviving record of every mention with two or more records."""
-    return survivors(*_records(spark, d)).where("records > 1")
+    return survivors(_records(spark, d)).where("records > 1")
 
 
 def p1_values(spark: SparkSession, d: str) -> DataFrame:
     """Every text of every mention with its posterior; all judged true are kept."""
-    return judged_values(*_records(spark, d))[0]
+    return judged_values(_records(spark, d))[0].drop("text_id")
+
+
+def p1_sources(spark: SparkSession, d: str) -> DataFrame:
+    """What the model infers of every source: its sensitivity and specificity."""
+    model, prior = judged_values(_records(spark, d))[1]
+    rows = [(s, float(a), float(b), float(prior)) for s, (a, b) in sorted(model.items())]
+    return spark.createDataFrame(rows, "source string, sensitivity double, specificity double, prior double")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -129,6 +136,6 @@ def p9_sources(spark: SparkSession, d: str) -> DataFrame:
     return source_report(p9_judged(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p1_values, p2_found, p2_canonical, p4_found, p4_mapped, p4_unmatched, p5_found, p5_paragraphs, p7_ids, p8_containers, p8_fill, p9_found, p9_judged, p9_sources)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_survivors, p1_values, p1_sources, p2_found, p2_canonical, p4_found, p4_mapped, p4_unmatched, p5_found, p5_paragraphs, p7_ids, p8_containers, p8_fill, p9_found, p9_judged, p9_sources)}
 
 SQL: dict[str, str] = {}

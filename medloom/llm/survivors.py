@@ -12,7 +12,9 @@ a specificity (it leaves out a value that isn't); the truth of each value of a
 mention is latent.  All are inferred together by expectation-maximisation over
 the distinct patterns of claims (which sources reported a value, which covered
 the mention without it) with their counts.  A mention keeps every value whose
-posterior is at least one half; its best text is the most probable one.
+posterior is at least one half; its best text is the most probable one.  Every
+E-step is an aggregate over the patterns, for any number of sources; only two
+numbers for each source come to the driver.
 
 Defined results: a null document or a category without a group is linked to
 nothing; null and blank texts are equal to nothing; a range that is null,
@@ -22,10 +24,10 @@ ids are equal too; ties go to the smaller span_id.
 
 from __future__ import annotations
 
+import math
 import unicodedata
 from functools import reduce
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +41,6 @@ from medloom.session import broadcast_if_small, materialize
 BLOCK = 65_536
 #: Width in characters of the cells that runs are joined by.
 CELL = 256
-#: With so many sources or fewer, the patterns of claims (at most 3 to this power) fit the driver.
-DRIVER_SOURCES = 8
 
 
 @F.pandas_udf(T.StringType())
@@ -66,23 +66,26 @@ def source_key(name: Column) -> Column:
     return F.regexp_replace(F.lower(name), "[^a-z0-9]", "")
 
 
-def canonical_records(spans: DataFrame, categories: DataFrame, sources: DataFrame) -> DataFrame:
-    """Records with their category group, canonical source, trust rank and folded text."""
+def placed_records(spans: DataFrame, categories: DataFrame) -> DataFrame:
+    """(span_id, doc_id, grp, start, end, text_id): what grouping needs of every record."""
     groups = broadcast_if_small(categories.select(F.col("category_label").alias("category"), F.col("category_group").alias("grp")).dropDuplicates(["category"]))
+    has_range = F.coalesce(F.col("span_end") > F.col("span_start"), F.lit(False))
+    named = spans.select("span_id", "doc_id", "category", F.when(has_range, F.col("span_start")).alias("start"), F.when(has_range, F.col("span_end")).alias("end"), folded(F.col("text")).alias("norm"))
+    text_id = F.when(F.col("norm").isNotNull(), F.xxhash64("norm")).alias("text_id")
+    return named.join(groups, "category", "left").select("span_id", "doc_id", "grp", "start", "end", text_id)
+
+
+def sourced_records(spans: DataFrame, sources: DataFrame) -> DataFrame:
+    """Records with their canonical source and its trust rank; an unknown source keeps its name and has no rank."""
     ranks = sources.select(source_key(F.col("source_name")).alias("k"), "source_name", "trust_rank").dropDuplicates(["k"])
     full = broadcast_if_small(ranks.select(F.col("k").alias("k1"), F.col("source_name").alias("s1"), F.col("trust_rank").alias("r1")))
     bare = broadcast_if_small(ranks.select(F.col("k").alias("k2"), F.col("source_name").alias("s2"), F.col("trust_rank").alias("r2")))
-    has_range = F.coalesce(F.col("span_end") > F.col("span_start"), F.lit(False))
     named = spans.select(
-        "span_id", "doc_id", "text", "category", "confidence", "source", "entity_type", "extracted_at",
-        F.when(has_range, F.col("span_start")).alias("start"), F.when(has_range, F.col("span_end")).alias("end"),
-        folded(F.col("text")).alias("norm"), source_key(F.col("source")).alias("k1"),
-        source_key(F.regexp_replace(F.trim("source"), r"(?i)[\s/_-]+v?[0-9.]+$", "")).alias("k2"),
+        "span_id", "text", "confidence", "source", "entity_type", "extracted_at",
+        source_key(F.col("source")).alias("k1"), source_key(F.regexp_replace(F.trim("source"), r"(?i)[\s/_-]+v?[0-9.]+$", "")).alias("k2"),
     )
-    out = named.join(groups, "category", "left").join(full, "k1", "left").join(bare, "k2", "left")
-    return out.select(
-        "span_id", "doc_id", "grp", "text", "norm", "confidence", "start", "end", "entity_type", "extracted_at", F.coalesce("s1", "s2", F.trim("source")).alias("source"), F.coalesce("r1", "r2").alias("trust_rank")
-    )
+    out = named.join(full, "k1", "left").join(bare, "k2", "left")
+    return out.select("span_id", "text", "confidence", "entity_type", "extracted_at", F.coalesce("s1", "s2", F.trim("source")).alias("source"), F.coalesce("r1", "r2").alias("trust_rank"))
 
 
 def _runs(ranged: DataFrame) -> DataFrame:
@@ -107,100 +110,92 @@ def _run_edges(runs: DataFrame) -> DataFrame:
     return s.join(l, reduce(Column.__and__, [*same, shorter, from_, to])).select(F.col("s.run").alias("a"), F.col("l.run").alias("b"))
 
 
-def mentions(records: DataFrame) -> DataFrame:
-    """The records with ``first_span_id``, the least span_id of their mention."""
-    # grouping needs few columns; the records themselves are read once more at the end
-    text = F.when(F.col("norm").isNotNull(), F.xxhash64("norm")).alias("text_id")
-    slim = materialize(records.where("doc_id IS NOT NULL AND grp IS NOT NULL").select("span_id", "doc_id", "grp", "start", "end", text))
-    ranged, loose = slim.where("start IS NOT NULL"), slim.where("start IS NULL")
+def mentions(placed: DataFrame) -> DataFrame:
+    """The placed records with ``first_span_id``, the least span_id of their mention."""
+    slim = materialize(placed)
+    linked = slim.where("doc_id IS NOT NULL AND grp IS NOT NULL")
+    ranged, loose = linked.where("start IS NOT NULL"), linked.where("start IS NULL AND text_id IS NOT NULL")
     runs = materialize(_runs(ranged))
     key, place = ["doc_id", "grp", "text_id"], ["doc_id", "grp", "len", "start"]
-    classes = materialize(loose.where("text_id IS NOT NULL").groupBy(*key).agg(F.min("span_id").alias("class")))
+    classes = materialize(loose.groupBy(*key).agg(F.min("span_id").alias("class")))
     length = (F.col("end") - F.col("start")).alias("len")
     # copies of a range with one text meet once
     by_text = ranged.where("text_id IS NOT NULL").select(*key, length, "start").distinct().join(classes, key).join(runs, place)
     edges = _run_edges(runs).union(by_text.select(F.col("run").alias("a"), F.col("class").alias("b")))
     labels = connected_components(edges)
-    every = records.withColumn("len", length).withColumn("text_id", F.when(F.col("start").isNull() & F.col("norm").isNotNull(), F.xxhash64("norm")))
-    every = every.join(runs, place, "left").join(classes, key, "left").withColumn("node", F.coalesce("run", "class", "span_id")).drop("run", "class", "len", "text_id")
+    # each record meets the nodes of its own kind only
+    columns = ["span_id", "doc_id", "grp", "start", "end", "text_id"]
+    alone = slim.where("doc_id IS NULL OR grp IS NULL OR (start IS NULL AND text_id IS NULL)").select(*columns, F.col("span_id").alias("node"))
+    noded = ranged.withColumn("len", length).join(runs, place).select(*columns, F.col("run").alias("node"))
+    noded = noded.unionByName(loose.join(classes, key).select(*columns, F.col("class").alias("node"))).unionByName(alone)
     # a node's name is its least span_id, so the least node of a component is its first record
-    return every.join(labels, "node", "left").withColumn("first_span_id", F.coalesce("component", "node")).drop("node", "component")
+    return noded.join(labels, "node", "left").withColumn("first_span_id", F.coalesce("component", "node")).drop("node", "component")
 
 
 # --- the quality model ---------------------------------------------------
 
 
-def expected(patterns: np.ndarray, counts: np.ndarray, sens: np.ndarray, spec: np.ndarray, prior: float) -> np.ndarray:
-    """Sums of the E-step: rows (positive true, covered true, positive all, covered all) by source, then the prior's."""
-    k = len(sens)
-    bits = 1 << np.arange(k)
-    pos = (patterns[:, :1] & bits) > 0
-    cov = (patterns[:, 1:2] & bits) > 0
-    p = posterior(pos, cov, sens, spec, prior)
-    w, wt = counts[:, None], (counts * p)[:, None]
-    return np.vstack([(wt * pos).sum(0), (wt * cov).sum(0), (w * pos).sum(0), (w * cov).sum(0), np.full(k, (counts * p).sum()), np.full(k, counts.sum())])
+def claim_patterns(values: Column, covered: Column) -> Column:
+    """The sources that covered a mention, each with whether it reported the value."""
+    return F.transform(F.array_sort(covered), lambda s: F.struct(s.alias("s"), F.array_contains(values, s).alias("v")))
 
 
-def posterior(pos: np.ndarray, cov: np.ndarray, sens: np.ndarray, spec: np.ndarray, prior: float) -> np.ndarray:
-    odds = np.log(prior / (1 - prior)) + (pos * np.log(sens / (1 - spec)) + (cov & ~pos) * np.log((1 - sens) / spec)).sum(1)
-    return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
+def _log_odds(model: dict[str, tuple[float, float]], prior: float) -> Column:
+    """Log odds that a value with the claims ``c`` is true."""
+    start = F.lit(math.log(prior / (1 - prior)))
+    if not model:
+        return start
+    pairs = [(F.lit(s), F.array(F.lit(math.log(a / (1 - b))), F.lit(math.log((1 - a) / b)))) for s, (a, b) in model.items()]
+    terms = F.create_map(*[x for pair in pairs for x in pair])
+    return F.aggregate("c", start, lambda sum_, x: sum_ + F.when(x["v"], terms[x["s"]][0]).otherwise(terms[x["s"]][1]))
 
 
-def fit_sources(patterns: DataFrame, k: int, rounds: int = 30, tolerance: float = 1e-4) -> tuple[np.ndarray, np.ndarray, float]:
-    """Sensitivities, specificities and the prior by expectation-maximisation.
+def fit_sources(patterns: DataFrame, rounds: int = 30, tolerance: float = 1e-3) -> tuple[dict[str, tuple[float, float]], float]:
+    """Sensitivity and specificity of every source, and the prior, by expectation-maximisation.
 
-    ``patterns``: (pos, cov, n), masks of sources and the number of values that
-    have them.  Beta(4, 2) and Beta(8, 2) priors keep the two labels from
-    changing places.  Up to ``DRIVER_SOURCES`` sources the patterns, at most 3
-    to this power, are fitted here; beyond it each E-step is a Spark aggregate.
+    ``patterns``: (c, n), claims and the number of values that have them.
+    Beta(4, 2) and Beta(8, 2) priors keep the two labels from changing places.
+    The names of the sources, a dimension, are the only rows the driver holds.
     """
-    sens, spec, prior = np.full(k, 0.7), np.full(k, 0.85), 0.6
-    here = None
-    if k <= DRIVER_SOURCES:
-        pdf = patterns.toPandas()
-        here = pdf[["pos", "cov"]].to_numpy("int64"), pdf["n"].to_numpy("float64")
+    # few patterns are one task, and its rounds need no shuffle
+    patterns = patterns.coalesce(1 + patterns.count() // 4096)
+    names = [r[0] for r in patterns.select(F.explode("c.s").alias("s")).distinct().collect()]
+    model, prior = dict.fromkeys(names, (0.7, 0.85)), 0.6
     for _ in range(rounds):
-        if here is not None:
-            sums = expected(*here, sens, spec, prior)
-        else:
-            args = sens, spec, prior
-
-            def part(batches, args=args):
-                for b in batches:
-                    yield pd.DataFrame({"v": [expected(b[["pos", "cov"]].to_numpy("int64"), b["n"].to_numpy("float64"), *args).ravel().tolist()]})
-
-            flat = patterns.mapInPandas(part, "v array<double>").select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).toPandas().sort_values("i")
-            sums = flat["x"].to_numpy().reshape(6, k) if len(flat) else np.zeros((6, k))
-        new_sens = (sums[0] + 3) / (sums[1] + 4)
-        false_cov = sums[3] - sums[1]
-        new_spec = (false_cov - (sums[2] - sums[0]) + 7) / (false_cov + 8)
-        prior = float((sums[4, 0] + 5) / (sums[5, 0] + 10))
-        moved = max(np.abs(new_sens - sens).max(), np.abs(new_spec - spec).max())
-        sens, spec = np.clip(new_sens, 1e-3, 1 - 1e-3), np.clip(new_spec, 1e-3, 1 - 1e-3)
+        p = patterns.withColumn("p", 1 / (1 + F.exp(-_log_odds(model, prior))))
+        # the claim of no source counts every value once
+        each = p.select("n", "p", F.explode(F.concat("c", F.array(F.struct(F.lit(None).cast("string").alias("s"), F.lit(False).alias("v"))))).alias("x"))
+        n, t, v = F.col("n"), F.col("n") * F.col("p"), F.col("x.v")
+        sums = {r.s: r for r in each.groupBy(F.col("x.s").alias("s")).agg(F.sum(F.when(v, t).otherwise(0.0)).alias("pt"), F.sum(t).alias("ct"), F.sum(F.when(v, n).otherwise(0)).alias("pa"), F.sum(n).alias("ca")).collect()}
+        if None not in sums:
+            break
+        new = {}
+        for s in names:
+            r = sums[s]
+            false = r.ca - r.ct
+            a, b = (r.pt + 3) / (r.ct + 4), (false - (r.pa - r.pt) + 7) / (false + 8)
+            new[s] = min(max(a, 1e-3), 1 - 1e-3), min(max(b, 1e-3), 1 - 1e-3)
+        prior = (sums[None].ct + 5) / (sums[None].ca + 10)
+        moved = max([0.0, *(abs(x - y) for s in names for x, y in zip(new[s], model[s], strict=True))])
+        model = new
         if moved < tolerance:
             break
-    return sens, spec, prior
+    return model, prior
 
 
-def judged_values(records: DataFrame, names: list[str]) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray, float]]:
-    """(first_span_id, norm, text, reports, posterior, is_true) of every value a mention has, and the model."""
-    index = F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, i)])
-    bit = F.coalesce(F.expr("shiftleft(1L, i)"), F.lit(0).cast("bigint"))
-    claims = records.withColumn("i", index[F.col("source")]).withColumn("bit", bit)
+def judged_values(records: DataFrame) -> tuple[DataFrame, tuple[dict[str, tuple[float, float]], float]]:
+    """(first_span_id, text_id, text, reports, posterior, is_true) of every value a mention has, and the model."""
     trusted = F.struct(-F.coalesce("trust_rank", F.lit(2**30)), F.length("text"), F.negative("span_id"))
-    values = claims.where("norm IS NOT NULL").groupBy("first_span_id", "norm").agg(F.bit_or("bit").alias("pos"), F.count("*").alias("reports"), F.max_by("text", trusted).alias("text"))
-    covered = claims.groupBy("first_span_id").agg(F.bit_or("bit").alias("cov"))
-    facts = materialize(values.join(covered, "first_span_id"))
-    sens, spec, prior = fit_sources(facts.groupBy("pos", "cov").agg(F.count("*").alias("n")), len(names))
-    odds = F.lit(float(np.log(prior / (1 - prior))))
-    for i in range(len(names)):
-        has, seen = F.col("pos").bitwiseAND(F.lit(1 << i)) != 0, F.col("cov").bitwiseAND(F.lit(1 << i)) != 0
-        odds = odds + F.when(has, F.lit(float(np.log(sens[i] / (1 - spec[i]))))).when(seen, F.lit(float(np.log((1 - sens[i]) / spec[i])))).otherwise(F.lit(0.0))
-    out = facts.withColumn("posterior", 1 / (1 + F.exp(-odds))).withColumn("is_true", F.col("posterior") >= 0.5)
-    return out.drop("pos", "cov"), (sens, spec, prior)
-
-
-def survivors(records: DataFrame, names: list[str]) -> DataFrame:
+    claims = records.groupBy("first_span_id", "text_id", "source").agg(F.count("*").alias("n"), F.max(F.struct(trusted.alias("by"), "text")).alias("best"))
+    values = claims.where("text_id IS NOT NULL").groupBy("first_span_id", "text_id").agg(F.collect_set("source").alias("pos"), F.sum("n").alias("reports"), F.max("best")["text"].alias("text"))
+    covered = claims.groupBy("first_span_id").agg(F.collect_set("source").alias("cov"))
+    facts = materialize(values.join(covered, "first_span_id").withColumn("c", claim_patterns(F.col("pos"), F.col("cov"))).drop("pos", "cov"))
+    model, prior = fit_sources(materialize(facts.groupBy("c").agg(F.count("*").alias("n"))))
+    out = facts.withColumn("posterior", 1 / (1 + F.exp(-_log_odds(model, prior)))).withColumn("is_true", F.col("posterior") >= 0.5)
+    return out.drop("c"), (model, prior)
+
+
+def survivors(records: DataFrame) -> DataFrame:
     """One record for each mention, built field by field.
 
     Text: the most probable value under the model; confidence, source and id:
@@ -216,12 +211,13 @@ def survivors(records: DataFrame, names: list[str]) -> DataFrame:
         F.count("*").alias("records"), F.max_by("span_id", best).alias("best_span_id"), F.max("confidence").alias("confidence"), F.max_by("source", best).alias("source"), F.min("doc_id").alias("doc_id"), F.min("grp").alias("category_group"),
         F.max_by("entity_type", only("entity_type")).alias("entity_type"), F.max_by("start", only("start")).alias("span_start"), F.max_by("end", only("start")).alias("span_end"),
     )
-    values, _ = judged_values(records, names)
+    values, _ = judged_values(records)
     texts = values.groupBy("first_span_id").agg(F.max_by("text", F.struct("posterior", "reports", F.length("text"), "text")).alias("text"), F.max("posterior").alias("posterior"), F.count_if("is_true").alias("true_values"))
     return fields.join(texts, "first_span_id", "left")
 
 
-def resolve(spans: DataFrame, categories: DataFrame, sources: DataFrame) -> tuple[DataFrame, list[str]]:
-    """All records with their mention, and the names of the known sources."""
-    records = materialize(mentions(canonical_records(spans, categories, sources)))
-    return records, sorted(r[0] for r in sources.select("source_name").where("source_name IS NOT NULL").distinct().limit(63).collect())
+def resolve(spans: DataFrame, categories: DataFrame, sources: DataFrame) -> DataFrame:
+    """All records with their mention; rows that repeat a whole record with its id count once."""
+    placed = mentions(placed_records(spans, categories))
+    firsts = placed.groupBy("span_id").agg(F.min_by(F.struct("doc_id", "grp", "start", "end", "text_id", "first_span_id"), F.struct("first_span_id", "start")).alias("x")).select("span_id", "x.*")
+    return materialize(firsts.join(sourced_records(spans, sources).dropDuplicates(["span_id"]), "span_id"))

@@ -62,8 +62,9 @@ def endings(docs: DataFrame) -> DataFrame:
 
 def starters(docs: DataFrame) -> DataFrame:
     """(starter, closed, open): how many sentences of all texts start so, with and without an end."""
-    units = docs.select(F.explode(F.split("text", r"[\r\n]+|(?<=[.!?。])\s+")).alias("u")).where(F.length(F.trim("u")) > 0)
-    return units.groupBy(starter(F.col("u")).alias("starter")).agg(F.count_if(ended(F.col("u"))).alias("closed"), F.count_if(~ended(F.col("u"))).alias("open"))
+    units = docs.select(F.explode(F.split("text", r"[\r\n]+|(?<=[.!?。])\s+")).alias("u")).where(F.trim("u") != "")
+    counted = units.groupBy(starter(F.col("u")).alias("starter")).agg(F.count("*").alias("n"), F.count_if(ended(F.col("u"))).alias("closed"))
+    return counted.select("starter", "closed", (F.col("n") - F.col("closed")).alias("open"))
 
 
 def with_ending_odds(ends: DataFrame, stats: DataFrame) -> DataFrame:
@@ -75,8 +76,12 @@ def with_ending_odds(ends: DataFrame, stats: DataFrame) -> DataFrame:
     """
     first = F.split(F.col("starter"), " ")[0]
     single = stats.groupBy(first.alias("word")).agg(F.sum("closed").alias("closed1"), F.sum("open").alias("open1"))
-    prefixes = stats.where("closed > open").select(F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("starter") - 1, F.lit(1))), lambda n: F.substring(F.col("starter"), F.lit(1), n))).alias("starter"), "closed")
-    longer = prefixes.groupBy("starter").agg(F.sum("closed").alias("as_prefix"))
+    # beginnings are cut at the lengths that brief texts have, and only those that such a text has are counted
+    brief = materialize(ends.where("brief AND NOT has_end").select("starter").distinct())
+    lengths = brief.agg(F.array_sort(F.collect_set(F.length("starter")))).first()[0] or []
+    cut_at = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n < F.greatest(F.length("starter"), F.lit(2)))
+    prefixes = stats.where("closed > open").select(F.explode(F.transform(cut_at, lambda n: F.substring(F.col("starter"), F.lit(1), n))).alias("starter"), "closed")
+    longer = prefixes.join(brief, "starter", "left_semi").groupBy("starter").agg(F.sum("closed").alias("as_prefix"))
     open_ = ends.where(~F.col("has_end")).withColumn("word", first).join(stats, "starter", "left").join(single, "word", "left").join(longer, "starter", "left")
     n = lambda c: F.coalesce(F.col(c), F.lit(0))
     pair = F.col("brief") | (n("closed") + n("open") >= 3)
@@ -172,7 +177,7 @@ def judge(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", "text", "source", "n_chars")
     ends = materialize(endings(docs))
-    odds = materialize(with_ending_odds(ends, starters(docs)))
+    odds = materialize(with_ending_odds(ends, materialize(starters(docs))))
     limits = censoring(ends, odds)
     best = limits.groupBy("source", "measure", "value").agg(F.max("posterior").alias("p"), F.max_by("limit", "posterior").alias("limit"))
     for m in ("chars", "bytes"):

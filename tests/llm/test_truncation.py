@@ -36,3 +36,10 @@ def test_censored_fit_beats_the_plain_mean():
     seen, cens = np.minimum(x, 6.2), x > 6.2
     mu, sigma = T.fit_censored(seen, np.ones(len(x)), cens, rounds=500)
     assert abs(mu - 6.0) < 0.03 and abs(sigma - 0.7) < 0.03 and seen.mean() < 5.9
+
+
+def test_a_text_without_spaces_is_one_word(spark):
+    # a starter of 100,000 characters must not be taken apart into all its beginnings
+    rows = [(i, "A" * 100_000 + ".", "s", None) for i in range(3)] + [(9, "Complete sentence here.", "s", None), (10, "AAA", "s", None)]
+    got = {r.doc_id: r.is_cut for r in T.judge(spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint")).collect()}
+    assert len(got) == 5 and not got[0] and not got[9]
