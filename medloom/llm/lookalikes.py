@@ -1,12 +1,16 @@
 """Text that looks the same but differs in its characters, in one consistent form.
 
-Each word is run through a trie of the reference vocabulary with a weighted
-edit automaton: ignorable characters and look-alikes cost nothing, other edits
-cost one.  A word that reaches a vocabulary entry at no cost takes its
-canonical spelling; a word within ``max_cost`` of one is meant in Latin
-letters, even if all its letters come from another script.  Every other word
-is normalised by table: compatibility forms, invisible characters, spaces and
-hyphens always, look-alike letters only in words that mix scripts.
+Each word that holds an odd character is run through a trie of the reference
+vocabulary with a weighted edit automaton: ignorable characters, look-alikes
+and compatibility forms cost nothing, other edits cost one.  A word that
+reaches a vocabulary entry at no cost takes the entry's spelling in its own
+case; a word within ``max_cost`` of one is meant in Latin letters, even if all
+its letters come from another script.  Every other word is normalised by
+table: compatibility forms, invisible characters, spaces and hyphens always,
+look-alike letters only in words that mix scripts.
+
+A vocabulary above ``MAX_WORDS`` is taken in parts of that size, one trie and
+one pass over the odd texts after another; a word is done at its first hit.
 
 Only texts with a character outside ASCII leave the JVM.
 
@@ -18,13 +22,16 @@ typographic quotes, superscripts and the degree sign stay as they are.
 from __future__ import annotations
 
 import unicodedata
-from functools import lru_cache
+from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from medloom.session import materialize
+
 # Characters and the Latin letters they look like.
 CYRILLIC = "АA ВB СC ЕE НH ІI ЈJ КK МM ОO РP ЅS ТT ХX УY аa сc еe һh іi јj оo рp ѕs хx уy ԁd ԛq ԝw ѵv ӏl"
 GREEK = "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX αa ιi κk νv οo ρp υu χx ϳj"
@@ -48,10 +55,24 @@ _IGNORABLE = regex.compile(rf"(?<![\p{{So}}\p{{Sk}}{chr(0xFE0F)}])[{chr(0x200D)}
 _FORMS = regex.compile(_class(FORMS))
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _LATIN, _OTHER = regex.compile(r"\p{Latin}"), regex.compile(r"[\p{Cyrillic}\p{Greek}]")
-#: Most vocabulary words a trie in an executor's memory may hold.
+#: Words in letters, with the characters that scans and editors leave inside them.
+_RAW = regex.compile(rf"[\p{{L}}\p{{N}}](?:[\p{{L}}\p{{M}}\p{{N}}{chr(0x200D)}]|{_class(INVISIBLE)})*")
+_ODD = regex.compile(rf"[\p{{Cyrillic}}\p{{Greek}}\p{{M}}{chr(0x200D)}]|{_class(INVISIBLE)}|{_class(FORMS)}")
+_NOTHING = regex.compile(rf"[{chr(0x200D)}{chr(0xFE0F)}]|{_class(INVISIBLE)}")
+#: Most vocabulary words that one trie in an executor's memory holds.
 MAX_WORDS = 200_000
 
 
+def alike(c: str) -> set[str]:
+    """What a character may stand for at no cost: itself, its look-alike, its compatibility form, or nothing."""
+    out = {c, LATIN.get(c, c)}
+    if _NOTHING.match(c):
+        out.add("")
+    if _FORMS.match(c):
+        out.add(unicodedata.normalize("NFKC", c))
+    return out
+
+
 class Trie:
     """Words by their characters; ``find`` is the weighted edit automaton over them."""
 
@@ -70,13 +91,19 @@ class Trie:
         self._insertions(states, max_cost)
         for c in word:
             nxt: dict[int, tuple[int, dict]] = {}
-            alike = {c, LATIN.get(c, c)}
+            same = alike(c)
             for cost, node in states.values():
-                if cost < max_cost:  # c is surplus
+                for letters in same:  # one character may stand for several letters or none
+                    at = node
+                    for x in letters:
+                        at = at.get(x) if at is not None else None
+                    if at is not None:
+                        _put(nxt, cost, at)
+                if cost < max_cost:  # c is surplus or another letter
                     _put(nxt, cost + 1, node)
-                for label, child in node.items():
-                    if label and (step := cost + (label not in alike)) <= max_cost:
-                        _put(nxt, step, child)
+                    for label, child in node.items():
+                        if label:
+                            _put(nxt, cost + 1, child)
             self._insertions(nxt, max_cost)
             states = nxt
             if not states:
@@ -114,30 +141,51 @@ def _latin(word: str, keep: str = "") -> str:
     return "".join(c if c in keep else LATIN.get(c, c) for c in word)
 
 
-def canonical_word(word: str, trie: Trie | None, max_cost: int = 1) -> str:
-    """The canonical spelling of one word (letters, marks and digits)."""
-    if word.isascii() or not _OTHER.search(word):
+def vocabulary_word(word: str, trie: Trie, max_cost: int = 1) -> str:
+    """The spelling that the vocabulary gives a word with odd characters, or the word itself."""
+    if word.isascii() or not _ODD.search(word):
         return word
-    # a word that keeps letters of the other script beyond look-alikes isn't meant in Latin
-    latin = _latin(word)
-    meant = len(word) > 1 and not _OTHER.search(latin)
-    if trie is not None and meant:
-        for form in dict.fromkeys((word, word.lower(), word.upper())):
-            hit = trie.find(form, 0)
-            if hit and latin.casefold() == hit[1].casefold():
-                return latin
-    if _LATIN.search(word):
-        # Greek letters that name something stand at either end of a name
-        inner = word.strip(NAMING)
-        head, _, tail = word.partition(inner)
-        return head + _latin(inner, NAMING) + tail
-    if trie is not None and meant and len(word) > 3 and any(trie.find(f, max_cost) for f in dict.fromkeys((word, word.lower(), word.upper()))):
-        return latin
+    # composed where possible; what is invisible is left to the automaton
+    raw = unicodedata.normalize("NFC", word)
+    plain = _latin(surface(raw))
+    if _OTHER.search(plain) or len(plain) < 2:
+        return word  # letters of the other script beyond look-alikes: not meant in Latin
+    ways = list(dict.fromkeys((raw, raw.lower(), raw.upper())))
+    for way in ways:
+        hit = trie.find(way, 0)
+        if hit and hit[1].casefold() == plain.casefold():
+            return _cased(hit[1], plain)
+    scripts = _OTHER.search(raw) and not _LATIN.search(surface(raw))
+    if scripts and len(plain) > 3 and any(trie.find(w, max_cost) for w in ways):
+        return plain
     return word
 
 
-def canonical(text: str | None, trie: Trie | None = None, max_cost: int = 1) -> str | None:
-    """One consistent form of a text; runs of plain spaces stay."""
+def _cased(entry: str, like: str) -> str:
+    """The entry's letters in the case of the word that stands for it."""
+    if len(entry) != len(like):
+        return like
+    return "".join(e.upper() if x.isupper() else e.lower() if x.islower() else e for e, x in zip(entry, like, strict=True))
+
+
+def table_word(word: str) -> str:
+    """A word by table: look-alikes only where scripts are mixed; Greek letters that name something stand at its ends."""
+    if word.isascii() or not _OTHER.search(word) or not _LATIN.search(word):
+        return word
+    inner = word.strip(NAMING)
+    head, _, tail = word.partition(inner)
+    return head + _latin(inner, NAMING) + tail
+
+
+def by_trie(text: str | None, trie: Trie, max_cost: int = 1) -> str | None:
+    """A text whose words that the vocabulary knows have its spelling."""
+    if text is None or text.isascii() or not _ODD.search(text):
+        return text
+    return _RAW.sub(lambda m: vocabulary_word(m[0], trie, max_cost), text)
+
+
+def by_table(text: str | None) -> str | None:
+    """A text whose other characters are brought to one form; runs of plain spaces stay."""
     if text is None or text.isascii():
         return text
     text = surface(text)
@@ -146,7 +194,7 @@ def canonical(text: str | None, trie: Trie | None = None, max_cost: int = 1) ->
     words = [m[0] for m in _WORD.finditer(text)]
     out = []
     for i, w in enumerate(words):
-        c = canonical_word(w, trie, max_cost)
+        c = table_word(w)
         if c == w and w not in NAMING and _OTHER.search(w) and not _OTHER.search(_latin(w)):
             # look-alikes only: another script needs a neighbour that is plainly of it
             near = [x for x in (*words[max(0, i - 1) : i], *words[i + 1 : i + 2])]
@@ -157,36 +205,50 @@ def canonical(text: str | None, trie: Trie | None = None, max_cost: int = 1) ->
     return _WORD.sub(lambda m: next(it), text)
 
 
-@lru_cache(4)
+def canonical(text: str | None, trie: Trie | None = None, max_cost: int = 1) -> str | None:
+    """One consistent form of a text: the vocabulary's spellings first, the table for the rest."""
+    return by_table(text if trie is None else by_trie(text, trie, max_cost))
+
+
+@lru_cache(1)
 def _trie(words: frozenset) -> Trie:
-    return Trie(words)
+    return Trie(words | {w.upper() for w in words})
 
 
-def vocabulary(columns: list[DataFrame]) -> list[str]:
-    """Words of reference lists: single-column frames of texts or arrays; at most ``MAX_WORDS``."""
-    words = set()
+def vocabulary(columns: list[DataFrame]) -> DataFrame:
+    """(word) of reference lists: single-column frames of texts or arrays."""
+    parts = []
     for df in columns:
         name, kind = df.dtypes[0]
         col = F.explode(name) if kind.startswith("array") else F.col(name)
-        parts = df.select(col.alias("t")).select(F.explode(F.split(F.lower("t"), r"[^\p{L}\p{M}\p{N}]+")).alias("w"))
-        words |= {r[0] for r in parts.where(F.length("w") > 1).distinct().limit(MAX_WORDS + 1).collect()}
-        if len(words) > MAX_WORDS:
-            raise ValueError(f"the reference vocabulary has more than {MAX_WORDS} words")
-    return sorted(words | {w.upper() for w in words})
+        parts.append(df.select(col.alias("t")).select(F.explode(F.split(F.lower("t"), r"[^\p{L}\p{M}\p{N}]+")).alias("word")))
+    return reduce(DataFrame.union, parts).where(F.length("word") > 1).distinct()
+
+
+def parts_of(words: DataFrame, most: int) -> Iterator[list[str]]:
+    """The vocabulary in lists of about ``most`` words at most, each small enough for the driver and a trie."""
+    words = materialize(words)
+    n = -(-words.count() * 10 // (9 * most))
+    for i in range(n):
+        yield sorted(r[0] for r in words.where(F.pmod(F.xxhash64("word"), F.lit(n)) == i).collect())
 
 
-def canonical_text(text: Column, words: list[str] | None = None, max_cost: int = 1) -> Column:
-    """``canonical`` of a column; texts of ASCII characters only never leave the JVM."""
-    shared = frozenset(words or ())
-    cast = F.pandas_udf(_by(shared, max_cost), "string")
+def _applied(text: Column, words: list[str], last: bool, max_cost: int) -> Column:
+    """The trie of ``words`` and, at the ``last`` of them, the table; texts of ASCII characters never leave the JVM."""
+    run = F.pandas_udf(_by(frozenset(words), last, max_cost), "string")
     plain = text.rlike(r"^[\x00-\x7f]*$")
-    return F.when(plain | text.isNull(), text).otherwise(cast(F.when(~plain, text)))
+    return F.when(plain | text.isNull(), text).otherwise(run(F.when(~plain, text)))
 
 
-def _by(words: frozenset, max_cost: int):
+def _by(words: frozenset, last: bool, max_cost: int):
     def run(texts):
         trie = _trie(words) if words else None
-        return texts.map(lambda t: canonical(t, trie, max_cost), na_action="ignore")
+
+        def one(t):
+            t = t if trie is None else by_trie(t, trie, max_cost)
+            return by_table(t) if last else t
+
+        return texts.map(one, na_action="ignore")
 
     run.__annotations__ = {"texts": pd.Series, "return": pd.Series}
     return run
@@ -198,9 +260,15 @@ def changed(text: Column, clean: Column) -> Column:
     return F.coalesce(text != clean, F.lit(False)) & (squeeze(text) != squeeze(clean))
 
 
-def canonical_fields(df: DataFrame, table_name: str, key: str, fields: list[str], words: list[str] | None = None) -> DataFrame:
-    """(table_name, row_id, field_name, original, canonical) of every text that changes."""
+def canonical_fields(df: DataFrame, table_name: str, key: str, fields: list[str], words: DataFrame | None = None, max_cost: int = 1, most: int = MAX_WORDS) -> DataFrame:
+    """(table_name, row_id, field_name, original, canonical) of every text that changes; ``words`` is a ``vocabulary``."""
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("original")) for f in fields]))
     flat = df.select(F.col(key).alias("row_id"), each.alias("x")).select("row_id", "x.*").where(~F.col("original").rlike(r"^[\x00-\x7f]*$"))
-    out = flat.withColumn("canonical", canonical_text(F.col("original"), words))
+    out = flat.withColumn("canonical", F.col("original"))
+    held: list[str] = []
+    for part in parts_of(words, most) if words is not None else []:
+        if held:
+            out = materialize(out.withColumn("canonical", _applied(F.col("canonical"), held, False, max_cost)))
+        held = part
+    out = out.withColumn("canonical", _applied(F.col("canonical"), held, True, max_cost))
     return out.where(changed(F.col("original"), F.col("canonical"))).select(F.lit(table_name).alias("table_name"), "row_id", "field_name", "original", "canonical")

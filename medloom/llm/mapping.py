@@ -3,10 +3,14 @@
 Values and the list's surface forms are read alike: one squashed form for
 codes and whole names, word tokens, and number tokens (with a letter after
 them) that must agree exactly.  Values whose squashed form is listed are done.
-For the rest, each distinct token is joined to the vocabulary through keys
-with up to two characters left out (an equi-join, no pair is missed within two
-edits), pairs are verified by edit distance, and the repaired tokens are
-combined by soft TF-IDF to rank complete entries.
+For the rest, each distinct token is joined to the vocabulary by equi-joins that
+miss no pair within the edits allowed: up to two edits through keys with as
+many characters left out, three edits through halves, one of which has at most
+one of them.  Pairs are verified by edit distance.  The rarest words name an
+entry and must all be met; entries whose naming words are met are ranked by
+soft TF-IDF over all their words.  Codes (values without a long word) are
+ranked against codes only and must score ``LEAST_CODE``: where three or four
+letters make an entry, another letter is another entry.
 
 Only distinct values and tokens are compared; rows are joined back at the end.
 
@@ -23,7 +27,7 @@ import unicodedata
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +41,8 @@ GREEK = {"α": "alpha", "β": "beta", "γ": "gamma", "δ": "delta", "ε": "epsil
 ROMAN = {"i": 1, "v": 5, "x": 10}
 READ = T.StructType().add("squash", T.StringType()).add("code", T.StringType()).add("is_name", T.BooleanType()).add("words", T.ArrayType(T.StringType())).add("numbers", T.StringType())
 NONE = "NONE"
+#: Least score of a code.
+LEAST_CODE = 0.83
 
 
 def _roman(t: str) -> str | None:
@@ -112,18 +118,61 @@ def allowed(length: int) -> int:
     return 0 if length < 3 else 1 if length < 6 else 2 if length < 10 else 3
 
 
-def left_out(token: str, most: int = 2) -> list[str]:
+def left_out(token: str, most: int) -> set[str]:
     """The token and all its forms with up to ``most`` characters left out."""
     keys = level = {token}
-    for _ in range(min(most, allowed(len(token)))):
+    for _ in range(most):
         level = {t[:i] + t[i + 1 :] for t in level for i in range(len(t))}
         keys = keys | level
+    return keys
+
+
+#: Tokens of this length may have three edits; keys of two characters left out reach two letters further.
+LONG = 10
+
+
+def _halves(token: str, prefixes, suffixes) -> set[str]:
+    """Keys of beginnings and ends of the given lengths with up to one character left out."""
+    out = {f"<{k}" for n in prefixes if 0 < n <= len(token) for k in left_out(token[:n], 1)}
+    return out | {f">{k}" for n in suffixes if 0 < n <= len(token) for k in left_out(token[-n:], 1)}
+
+
+def known_keys(word: str) -> list[str]:
+    """Keys of a vocabulary word.
+
+    A long one is split at its middle and one further: no transposition crosses
+    both places, so of three edits one half at one of them has at most one.
+    """
+    n = len(word)
+    keys = left_out(word, min(2, allowed(n))) if n < LONG + 2 else set()
+    if n >= LONG:
+        keys |= _halves(word, (n // 2, n // 2 + 1), (n - n // 2, n - n // 2 - 1))
     return sorted(keys)
 
 
+def asked_keys(token: str) -> list[str]:
+    """Keys of a typed token: one is shared with every word within the edits allowed."""
+    n = len(token)
+    keys = left_out(token, min(2, allowed(n))) if n < LONG + 2 else set()
+    if n >= LONG:
+        lengths = range((n - 3) // 2 - 2, (n + 3) // 2 + 3)
+        keys |= _halves(token, lengths, lengths)
+    return sorted(keys)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _known_keys(tokens: pd.Series) -> pd.Series:
+    return tokens.map(known_keys)
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def _left_out(tokens: pd.Series) -> pd.Series:
-    return tokens.map(left_out)
+def _asked_keys(tokens: pd.Series) -> pd.Series:
+    return tokens.map(asked_keys)
+
+
+def _edits(length: Column) -> Column:
+    """``allowed`` as an expression."""
+    return F.when(length < 3, 0).when(length < 6, 1).when(length < LONG, 2).otherwise(3)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -154,39 +203,52 @@ def map_values(values: DataFrame, surface: DataFrame, least: float = 0.72) -> Da
     exact = readings.join(listed, ["kind", "squash"], "left").join(by_code, ["kind", "code"], "left")
     exact = exact.withColumn("entry_key", F.coalesce("hit.entry_key", "hit2.entry_key")).drop("hit", "hit2")
     done = exact.where("entry_key IS NOT NULL").select("kind", "value", "entry_key", F.lit(1.0).alias("score"))
-    rest = exact.where("entry_key IS NULL AND is_name").select("kind", "value", "words", "numbers")
+    rest = exact.where("entry_key IS NULL").select("kind", "is_name", "value", "words", "numbers")
     return done.unionByName(_rank(rest, surface, least))
 
 
 def _rank(rest: DataFrame, surface: DataFrame, least: float) -> DataFrame:
     # vocabulary with document frequencies; a form is known by its key, rank and text
-    form = surface.where("is_name").select("kind", "entry_key", "form_rank", "numbers", F.xxhash64("kind", "entry_key", "form").alias("form_id"), F.array_distinct("words").alias("words"))
-    posting = materialize(form.select("kind", "entry_key", "form_rank", "numbers", "form_id", F.explode("words").alias("known")))
+    form = surface.select("kind", "is_name", "entry_key", "form_rank", "numbers", F.xxhash64("kind", "entry_key", "form").alias("form_id"), F.array_distinct("words").alias("words"))
+    posting = materialize(form.select("kind", "is_name", "entry_key", "form_rank", "numbers", "form_id", F.explode("words").alias("known")))
     # rarity is that of a word among names, whatever their number: a family of types is one name
-    per = posting.join(form.select("form_id", F.concat_ws(" ", F.array_sort("words")).alias("name")), "form_id")
+    per = posting.where("is_name").join(form.select("form_id", F.concat_ws(" ", F.array_sort("words")).alias("name")), "form_id")
     df = per.groupBy("kind", "known").agg(F.count_distinct("name").alias("df"))
-    names = per.groupBy("kind").agg(F.count_distinct("name").alias("names"))
-    idf = df.join(names, "kind").select("kind", "known", F.log(1 + F.col("names") / F.col("df")).alias("w"), F.log(1 + F.col("names")).alias("w_new"))
-    asked = rest.select("kind", "value", "numbers", F.explode(F.array_distinct("words")).alias("token"))
-    tokens = asked.select("kind", "token").distinct().select("kind", "token", F.explode(_left_out("token")).alias("key"))
-    known = idf.select("kind", "known", "w", F.explode(_left_out("known")).alias("key"))
-    pairs = tokens.join(known, ["kind", "key"]).select("kind", "token", "known", "w").distinct().withColumn("sim", _alike("token", "known")).where("sim > 0")
-    pairs = materialize(pairs)
-    best = pairs.groupBy("kind", "token").agg(F.max_by("w", F.struct("sim", "w")).alias("w_q"))
-    w_new = idf.groupBy("kind").agg(F.max("w_new").alias("w_new"))
-    weighed = asked.join(best, ["kind", "token"], "left").join(w_new, "kind").withColumn("w_q", F.coalesce("w_q", "w_new"))
+    names = materialize(per.groupBy("kind").agg(F.count_distinct("name").alias("names")))
+    idf = df.join(names, "kind").select("kind", F.lit(True).alias("is_name"), "known", F.log(1 + F.col("names") / F.col("df")).alias("w"))
+    # the parts of a code weigh alike
+    codes = posting.where("NOT is_name").select("kind", "is_name", "known", F.lit(1.0).alias("w")).distinct()
+    words = materialize(idf.unionByName(codes))
+    asked = materialize(rest.select("kind", "is_name", "value", "numbers", F.explode(F.array_distinct("words")).alias("token")))
+    tokens = asked.select("kind", "is_name", "token").distinct().select("kind", "is_name", "token", F.explode(_asked_keys("token")).alias("key"))
+    known = words.select("kind", "is_name", "known", "w", F.explode(_known_keys("known")).alias("key"))
+    pairs = tokens.join(known, ["kind", "is_name", "key"]).select("kind", "is_name", "token", "known", "w").distinct()
+    # a transposition is two plain edits: most pairs are dropped before the exact distance
+    most = _edits(F.least(F.length("token"), F.length("known")))
+    pairs = pairs.where((F.abs(F.length("token") - F.length("known")) <= most) & (F.levenshtein("token", "known") <= 2 * most))
+    pairs = materialize(pairs.withColumn("sim", F.when(F.col("token") == F.col("known"), 1.0).otherwise(_alike("token", "known"))).where("sim > 0"))
+    best = pairs.groupBy("kind", "is_name", "token").agg(F.max_by("w", F.struct("sim", "w")).alias("w_q"))
+    w_new = names.select("kind", F.log(1 + F.col("names")).alias("w_new"))
+    weighed = asked.join(best, ["kind", "is_name", "token"], "left").join(w_new, "kind", "left").withColumn("w_q", F.coalesce("w_q", F.when(F.col("is_name"), F.col("w_new")), F.lit(1.0))).drop("w_new")
+    weighed = materialize(weighed)
     norm_q = weighed.groupBy("kind", "value").agg(F.sqrt(F.sum(F.col("w_q") * F.col("w_q"))).alias("norm_q"))
-    weights = posting.join(idf.select("kind", "known", "w"), ["kind", "known"])
+    weights = posting.join(words, ["kind", "is_name", "known"])
     norm_f = weights.groupBy("form_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm_f"), F.max("w").alias("top"))
     # the rarest words of a form are what names it: all of them must be there
-    naming = weights.join(norm_f.select("form_id", "top"), "form_id").where(F.col("w") >= F.col("top") - 1e-9).select("form_id", "known", F.lit(True).alias("names"))
+    naming = materialize(weights.join(norm_f.select("form_id", "top"), "form_id").where(F.col("w") >= F.col("top") - 1e-9).select("kind", "is_name", "form_id", "entry_key", "form_rank", "numbers", "known"))
     norm_f = norm_f.join(naming.groupBy("form_id").agg(F.count("*").alias("naming")), "form_id")
-    hits = weighed.join(pairs, ["kind", "token"]).join(posting, ["kind", "known", "numbers"]).join(naming, ["form_id", "known"], "left")
+    # values meet entries through naming words only, which are rare, never through words that many entries share
+    met = weighed.join(pairs.select("kind", "is_name", "token", "known"), ["kind", "is_name", "token"]).join(naming, ["kind", "is_name", "known", "numbers"])
+    met = met.groupBy("kind", "is_name", "value", "form_id", "entry_key", "form_rank").agg(F.count_distinct("known").alias("named")).join(norm_f, "form_id").where("named = naming")
+    hits = met.join(weighed.select("kind", "is_name", "value", "token", "w_q"), ["kind", "is_name", "value"]).join(pairs.select("kind", "is_name", "token", "known", "w", "sim"), ["kind", "is_name", "token"])
+    hits = hits.join(posting.select("form_id", "known"), ["form_id", "known"]).join(naming.select("form_id", "known", F.lit(True).alias("names")), ["form_id", "known"], "left")
     # each token of the value counts once in a form, with its most similar word
-    per_token = hits.groupBy("kind", "value", "form_id", "entry_key", "form_rank", "token").agg(F.max(F.struct((F.col("sim") * F.col("w_q") * F.col("w")).alias("part"), F.when(F.col("names"), F.col("known")).alias("name"))).alias("h"))
-    score = per_token.groupBy("kind", "value", "form_id", "entry_key", "form_rank").agg(F.sum("h.part").alias("dot"), F.count_distinct("h.name").alias("named"))
-    score = score.join(norm_f, "form_id").join(norm_q, ["kind", "value"]).withColumn("score", F.least(F.lit(1.0), F.col("dot") / (F.col("norm_q") * F.col("norm_f"))))
-    top = score.where((F.col("score") >= least) & (F.col("named") == F.col("naming"))).groupBy("kind", "value").agg(F.min(F.struct((-F.col("score")).alias("neg"), "form_rank", "entry_key")).alias("m"))
+    group = ["kind", "is_name", "value", "form_id", "entry_key", "form_rank", "norm_f", "naming"]
+    per_token = hits.groupBy(*group, "token").agg(F.max(F.struct((F.col("sim") * F.col("w_q") * F.col("w")).alias("part"), F.when(F.col("names"), F.col("known")).alias("name"))).alias("h"))
+    score = per_token.groupBy(*group).agg(F.sum("h.part").alias("dot"), F.count_distinct("h.name").alias("named"))
+    score = score.join(norm_q, ["kind", "value"]).withColumn("score", F.least(F.lit(1.0), F.col("dot") / (F.col("norm_q") * F.col("norm_f"))))
+    enough = F.col("score") >= F.when(F.col("is_name"), least).otherwise(LEAST_CODE)
+    top = score.where(enough & (F.col("named") == F.col("naming"))).groupBy("kind", "value").agg(F.min(F.struct((-F.col("score")).alias("neg"), "form_rank", "entry_key")).alias("m"))
     return top.select("kind", "value", F.col("m.entry_key").alias("entry_key"), (-F.col("m.neg")).alias("score"))
 
 

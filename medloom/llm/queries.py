@@ -60,14 +60,14 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_survivors(spark, d).select("first_span_id", "best_span_id")
 
 
-def lexicon_words(spark: SparkSession, d: str) -> list[str]:
+def lexicon_words(spark: SparkSession, d: str) -> DataFrame:
     genes, terms = table(spark, d, "gene_lexicon"), table(spark, d, "term_lexicon")
     return vocabulary([genes.select(c) for c in ("symbol", "full_name", "aliases")] + [terms.select(c) for c in ("preferred_label", "abbreviation", "synonyms")])
 
 
 def p2_canonical(spark: SparkSession, d: str) -> DataFrame:
     """Every text that changes, with its consistent form."""
-    words = lexicon_words(spark, d)
+    words = materialize(lexicon_words(spark, d))
     genes = table(spark, d, "gene_candidates", "candidate_id", "matched_text", "context_text")
     entities = table(spark, d, "ner_entities", "entity_id", "text")
     return canonical_fields(genes, "gene_candidates", "candidate_id", ["matched_text", "context_text"], words).unionByName(canonical_fields(entities, "ner_entities", "entity_id", ["text"], words))
