@@ -137,26 +137,26 @@ def _halves(token: str, prefixes, suffixes) -> set[str]:
     return out | {f">{k}" for n in suffixes if 0 < n <= len(token) for k in left_out(token[-n:], 1)}
 
 
-def known_keys(word: str) -> list[str]:
-    """Keys of a vocabulary word.
+def asked_keys(token: str) -> list[str]:
+    """Keys of a typed token: one is shared with every word within the edits allowed.
 
     A long one is split at its middle and one further: no transposition crosses
     both places, so of three edits one half at one of them has at most one.
     """
-    n = len(word)
-    keys = left_out(word, min(2, allowed(n))) if n < LONG + 2 else set()
+    n = len(token)
+    keys = left_out(token, min(2, allowed(n))) if n < LONG + 2 else set()
     if n >= LONG:
-        keys |= _halves(word, (n // 2, n // 2 + 1), (n - n // 2, n - n // 2 - 1))
+        keys |= _halves(token, (n // 2, n // 2 + 1), (n - n // 2, n - n // 2 - 1))
     return sorted(keys)
 
 
-def asked_keys(token: str) -> list[str]:
-    """Keys of a typed token: one is shared with every word within the edits allowed."""
-    n = len(token)
-    keys = left_out(token, min(2, allowed(n))) if n < LONG + 2 else set()
+def known_keys(word: str) -> list[str]:
+    """Keys of a vocabulary word, of which there are fewer: the halves of every token it may be typed as."""
+    n = len(word)
+    keys = left_out(word, min(2, allowed(n))) if n < LONG + 2 else set()
     if n >= LONG:
         lengths = range((n - 3) // 2 - 2, (n + 3) // 2 + 3)
-        keys |= _halves(token, lengths, lengths)
+        keys |= _halves(word, lengths, lengths)
     return sorted(keys)
 
 
@@ -176,13 +176,17 @@ def _edits(length: Column) -> Column:
 
 
 @F.pandas_udf(T.DoubleType())
-def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
-    def one(x: str, y: str) -> float:
+def _alike(a: pd.Series, b: pd.Series, plain: pd.Series) -> pd.Series:
+    """Likeness by edit distance; ``plain`` is the distance without transpositions."""
+
+    def one(x: str, y: str, d: int) -> float:
         most = allowed(min(len(x), len(y)))
-        d = osa(x, y, most)
+        if d > 1 and (swaps := sum(x[i + 1] + x[i] in y for i in range(len(x) - 1))):
+            # each transposition saves one edit at most
+            d = osa(x, y, most) if d - swaps <= most else most + 1
         return 1 - d / (max(len(x), len(y)) + 1) if d <= most else 0.0
 
-    return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+    return pd.Series([one(x, y, d) for x, y, d in zip(a, b, plain, strict=True)], dtype="float64")
 
 
 def forms(lists: list[tuple[str, DataFrame]]) -> DataFrame:
@@ -225,8 +229,8 @@ def _rank(rest: DataFrame, surface: DataFrame, least: float) -> DataFrame:
     pairs = tokens.join(known, ["kind", "is_name", "key"]).select("kind", "is_name", "token", "known", "w").distinct()
     # a transposition is two plain edits: most pairs are dropped before the exact distance
     most = _edits(F.least(F.length("token"), F.length("known")))
-    pairs = pairs.where((F.abs(F.length("token") - F.length("known")) <= most) & (F.levenshtein("token", "known") <= 2 * most))
-    pairs = materialize(pairs.withColumn("sim", F.when(F.col("token") == F.col("known"), 1.0).otherwise(_alike("token", "known"))).where("sim > 0"))
+    pairs = pairs.where(F.abs(F.length("token") - F.length("known")) <= most).withColumn("plain", F.levenshtein("token", "known")).where(F.col("plain") <= 2 * most)
+    pairs = materialize(pairs.withColumn("sim", _alike("token", "known", "plain")).drop("plain").where("sim > 0"))
     best = pairs.groupBy("kind", "is_name", "token").agg(F.max_by("w", F.struct("sim", "w")).alias("w_q"))
     w_new = names.select("kind", F.log(1 + F.col("names")).alias("w_new"))
     weighed = asked.join(best, ["kind", "is_name", "token"], "left").join(w_new, "kind", "left").withColumn("w_q", F.coalesce("w_q", F.when(F.col("is_name"), F.col("w_new")), F.lit(1.0))).drop("w_new")
