@@ -347,6 +347,7 @@ def distinct_texts(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Dat
 
 def for_copies(found: DataFrame, copies: DataFrame) -> DataFrame:
     """The rows of ``doc`` once more for each other key of its text."""
+    found = materialize(found)  # it is read twice
     more = found.join(_within(copies), "doc").select(F.col("key").alias("doc"), *[c for c in found.columns if c != "doc"])
     return found.unionByName(more)
 
