@@ -45,3 +45,36 @@ def test_paragraphs_are_repaired(spark):
 
 def test_empty_table(spark):
     assert found(spark, [])[1] == set()
+
+
+def test_headers_of_any_number_of_lines(spark):
+    # every line of a header of five lines is furniture; the body below it isn't
+    head = ["Institute for Rare Disorders", "Department of Trials", "Confidential working copy", "Please do not distribute", "Version of the sponsor"]
+    rows = []
+    for doc in range(30):
+        pages = []
+        for p in range(3):
+            word = lambda x: "".join(chr(97 + 7919 * x // 26**k % 26) for k in range(4))
+            body = [f"{word(doc * 100 + p * 10 + i)} {SENTENCES[(doc + p + i) % 4]} {word(doc * 77 + p * 31 + i * 5)}." for i in range(8)]
+            pages.append(f"--- Page {p + 1} ---\n\n" + "\n".join([*head, *body]) + "\n")
+        rows.append((doc, "\n".join(pages)))
+    _, got = found(spark, rows)
+    for doc, text_ in rows:
+        lines = text_.split("\n")
+        assert {n for d, n, k in got if d == doc and k == "furniture"} == {i + 1 for i, l in enumerate(lines) if l in head}
+
+
+def test_texts_that_come_again_change_nothing(spark):
+    bad = text(1200).replace("clinical", "c1inical", 1).replace("yearly audiometry", "yearly audio-\nmetry", 1)
+    rows = [(i, text(i * 100)) for i in range(12)] + [(50, bad)]
+    _, once = found(spark, rows)
+    _, often = found(spark, rows + [(i + 1000 * k, t) for k in range(1, 12) for i, t in rows])
+    assert {r for r in often if r[0] < 1000} == once
+    assert {(d % 1000, n, k) for d, n, k in often if d >= 1000} == once and len(often) == 12 * len(once)
+
+
+def test_filter_misses_nothing(spark):
+    keys = spark.range(-5000, 5000).selectExpr("id * 7919 AS k")
+    f = S.Filter(keys)
+    assert all(i * 7919 in f for i in range(-5000, 5000)) and sum(k in f for k in range(1, 20000, 2) if k % 7919) < 1500
+    assert 5 not in S.Filter(keys.limit(0))
