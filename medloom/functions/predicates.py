@@ -69,9 +69,16 @@ def any_word(context: Column, words: list[str]) -> Column:
     return F.lower(context).rlike(r"(?:^|[^a-z])(?:" + "|".join(words) + r")(?:[^a-z]|$)")
 
 
+#: A denied family history is a negation.
+NO_FAMILY = "(?:^|[^a-z])(?:no|without|denied) (?:known )?family history"
+#: A clause ends the reach of the words before it: what follows its last end.
+SCOPE = r"([^.;:]*)$"
+
+
 def assertion(before: Column) -> Column:
-    """Class of a mention by the text before it: family, possible, negated or present."""
-    return F.when(any_word(before, FAMILY), "family").when(any_word(before, HYPOTHETICAL), "possible").when(any_word(before, NEGATIONS), "negated").otherwise("present")
+    """Class of a mention by the text before it in its clause: family, possible, negated or present."""
+    before = F.regexp_extract(F.lower(before), SCOPE, 1)
+    return F.when(before.rlike(NO_FAMILY), "negated").when(any_word(before, FAMILY), "family").when(any_word(before, HYPOTHETICAL), "possible").when(any_word(before, NEGATIONS), "negated").otherwise("present")
 
 
 def section_of(header: Column) -> Column:

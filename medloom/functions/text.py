@@ -19,7 +19,14 @@ ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñç"
 UNACCENTED = "aaaaaaeeeeiiiiooooouuuunc"
 NBSP = chr(0xA0)
 #: American stems and their British spellings.
-BRITISH = {"anemia": "anaemia", "edema": "oedema", "tumor": "tumour", "hemo": "haemo", "leuk": "leuk", "esoph": "oesoph"}
+BRITISH = {"anemia": "anaemia", "edema": "oedema", "tumor": "tumour", "hemo": "haemo", "estrogen": "oestrogen", "esoph": "oesoph"}
+
+
+def places(text: Column, part: str) -> Column:
+    """Where a part stands in a text, from 0; places don't overlap."""
+    pieces = F.split(text, rf"\Q{part}\E")
+    before = lambda k: F.aggregate(F.slice(pieces, F.lit(1), k), F.lit(0), lambda n, p: n + F.length(p)) + (k - 1) * len(part)
+    return F.when(F.size(pieces) > 1, F.transform(F.sequence(F.lit(1), F.size(pieces) - 1), before))
 
 
 def clean_whitespace(x: Column) -> Column:

@@ -21,11 +21,12 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
-def ngrams(df: DataFrame, key: str, text: str, longest: int = 5) -> DataFrame:
-    """(key, start, n, gram) of every run of up to ``longest`` tokens; ``start`` counts tokens from 0."""
+def ngrams(df: DataFrame, key: str, text: str, sizes: list[int]) -> DataFrame:
+    """(key, start, n, gram) of every run of as many tokens as one of ``sizes``; ``start`` counts tokens from 0."""
     t = df.select(key, tokens(F.col(text)).alias("t"))
     at = t.select(key, "t", F.posexplode(F.transform("t", lambda x: F.lit(0))).alias("start", "z"))
-    sized = at.select(key, "t", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("t") - F.col("start")))).alias("n"))
+    fitting = F.filter(F.array(*map(F.lit, sizes)).cast("array<int>"), lambda n: n <= F.size("t") - F.col("start"))
+    sized = at.select(key, "t", "start", F.explode(fitting).alias("n"))
     return sized.select(key, "start", "n", F.array_join(F.slice("t", F.col("start") + 1, F.col("n")), " ").alias("gram"))
 
 
@@ -41,9 +42,17 @@ def _at(i: int):
     return lambda x: F.struct(F.lit(i).alias("priority"), x.alias("form"))
 
 
-def hits(df: DataFrame, key: str, text: str, forms: DataFrame, longest: int = 5) -> DataFrame:
-    """(key, start, n, entry, priority): every n-gram that is a form, overlapping ones included."""
-    return ngrams(df, key, text, longest).join(forms.select("gram", "entry", "priority"), "gram").select(key, "start", "n", "entry", "priority")
+def sizes_of(grams: DataFrame) -> list[int]:
+    """The different numbers of tokens of ``gram``, one number each for the driver."""
+    return sorted(r[0] for r in grams.select(F.size(F.split("gram", " ")).alias("n")).distinct().collect())
+
+
+def hits(df: DataFrame, key: str, text: str, forms: DataFrame) -> DataFrame:
+    """(key, start, n, entry, priority): every n-gram that is a form, overlapping ones included.
+
+    N-grams are as long as the lexicon's own forms, whatever their length.
+    """
+    return ngrams(df, key, text, sizes_of(forms)).join(forms.select("gram", "entry", "priority"), "gram").select(key, "start", "n", "entry", "priority")
 
 
 def longest_leftmost(found: DataFrame, key: str) -> DataFrame:
@@ -73,7 +82,7 @@ def longest_leftmost(found: DataFrame, key: str) -> DataFrame:
     return alone.unionByName(sized.where("many > 1").groupBy(key, "run").applyInPandas(greedy, schema))
 
 
-def contained(df: DataFrame, key: str, text: str, forms: DataFrame, longest: int = 5) -> DataFrame:
+def contained(df: DataFrame, key: str, text: str, forms: DataFrame) -> DataFrame:
     """(key, entry): the longest form contained in each text, by whole tokens."""
-    found = hits(df, key, text, forms, longest)
+    found = hits(df, key, text, forms)
     return found.groupBy(key).agg(F.max_by("entry", F.struct("n", F.negative("priority"), "entry")).alias("entry"))

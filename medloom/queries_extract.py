@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medloom.functions import extract as E
@@ -67,10 +68,25 @@ def ex06_inline_definitions(spark, d):
     return rows.where("style = 'equals'").select("doc_id", "short_form", "long_form")
 
 
-@query(r"""SELECT doc_id, trim(regexp_extract(text, 'Contact: ([^\n]+)', 1)) AS value FROM documents WHERE regexp_extract(text, 'Contact: ([^\n]+)', 1) <> ''""")
+def _all(df: DataFrame, key: str, text: str, rx: str, *names: str) -> DataFrame:
+    """One row for every match in a text, its groups named."""
+    hit = df.select(key, F.explode(F.regexp_extract_all(text, F.lit(rx), F.lit(0))).alias("m"))
+    return hit.select(key, *[F.regexp_extract("m", rx, i).alias(n) for i, n in enumerate(names, 1)])
+
+
+def _all_sql(source: str, key: str, text: str, rx: str, *names: str) -> str:
+    groups = ", ".join(f"regexp_extract(m, '{rx}', {i}) AS {n}" for i, n in enumerate(names, 1))
+    return f"(SELECT {key}, {groups} FROM (SELECT {key}, unnest(regexp_extract_all({text}, '{rx}')) AS m FROM {source}))"
+
+
+_LABELLED = r"[A-Z][A-Za-z]{2,20}(?: [a-z]{2,15})?: [^\n.;]{2,80}"
+
+
+@query(rf"""SELECT doc_id, regexp_extract(m, '^([^:]+): ', 1) AS label, trim(regexp_extract(m, ': (.*)$', 1)) AS value FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{_LABELLED}')) AS m FROM {PLANTED})""")
 def ex13_label_value(spark, d):
-    v = F.regexp_extract("text", r"Contact: ([^\n]+)", 1)
-    return table(spark, d, "documents").where(v != "").select("doc_id", F.trim(v).alias("value"))
+    """Every label with a colon and the value behind it."""
+    hit = planted(spark, d).select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_LABELLED), F.lit(0))).alias("m"))
+    return hit.select("doc_id", F.regexp_extract("m", "^([^:]+): ", 1).alias("label"), F.trim(F.regexp_extract("m", ": (.*)$", 1)).alias("value"))
 
 
 @query("SELECT doc_id, code FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\\b([A-Z]{2,4}-[0-9]{3,6})\\b', 1)) AS code FROM " + PLANTED + ") GROUP BY ALL")
@@ -118,30 +134,43 @@ def ex25_phases(spark, d):
     return planted(spark, d).select("doc_id", F.explode(z).alias("x")).select("doc_id", F.col("x.p").alias("phase"), F.col("x.n").cast("int").alias("n"), F.col("x.u").alias("unit"))
 
 
-@query(r"""SELECT doc_id, regexp_extract(text, 'primary endpoint was ([^.]+)', 1) AS endpoint FROM documents WHERE regexp_extract(text, 'primary endpoint was ([^.]+)', 1) <> ''""")
+_ENDPOINT = r"([Pp]rimary|[Ss]econdary|[Mm]ain|[Cc]o-primary) (?:endpoint|outcome|end point)s? (?:was|were|is|:) ([^.]+)"
+
+
+@query("SELECT doc_id, lower(rank) AS rank, endpoint, regexp_extract(endpoint, 'at (week|month|day|year) ([0-9]+)', 2) AS at FROM " + _all_sql("documents", "doc_id", "text", _ENDPOINT, "rank", "endpoint"))
 def ex26_endpoints(spark, d):
-    v = F.regexp_extract("text", r"primary endpoint was ([^.]+)", 1)
-    return table(spark, d, "documents").where(v != "").select("doc_id", v.alias("endpoint"))
+    """Every endpoint of a text with its rank and the time it is measured."""
+    hit = _all(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", _ENDPOINT, "rank", "endpoint")
+    return hit.select("doc_id", F.lower("rank").alias("rank"), "endpoint", F.regexp_extract("endpoint", "at (week|month|day|year) ([0-9]+)", 2).alias("at"))
+
 
+_SITES = r"(?:at|in|from) ([0-9]+) (centres|centers|sites|hospitals)(?: in ([A-Z][a-z]+(?: [A-Z][a-z]+)?))?"
 
-@query(r"""SELECT doc_id, place, n::INT AS centres FROM (SELECT doc_id, regexp_extract(text, 'at ([0-9]+) centres in ([A-Z][a-z]+(?: [A-Z][a-z]+)?)', 1) AS n, regexp_extract(text, 'at ([0-9]+) centres in ([A-Z][a-z]+(?: [A-Z][a-z]+)?)', 2) AS place FROM documents) WHERE n <> ''""")
+
+@query("SELECT doc_id, n::INT AS centres, kind, place FROM " + _all_sql("documents", "doc_id", "text", _SITES, "n", "kind", "place"))
 def ex27_sites(spark, d):
-    rx = r"at ([0-9]+) centres in ([A-Z][a-z]+(?: [A-Z][a-z]+)?)"
-    n = F.regexp_extract("text", rx, 1)
-    return table(spark, d, "documents").where(n != "").select("doc_id", F.regexp_extract("text", rx, 2).alias("place"), n.cast("int").alias("centres"))
+    """Every number of centres with its place where one is named."""
+    return _all(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", _SITES, "n", "kind", "place").select("doc_id", F.col("n").cast("int").alias("centres"), "kind", "place")
+
 
+_SCREENED = r"([0-9]+) (?:patients |adults |participants |were )*screened(?: and|,)? ([0-9]+) (?:patients |were )*(?:enrolled|randomised|randomized|included)"
 
-@query(r"""SELECT doc_id, s::INT AS screened, e::INT AS enrolled, round((s::DOUBLE - e::DOUBLE) / s::DOUBLE * 100, 1) AS failure_rate FROM (SELECT doc_id, regexp_extract(text, '([0-9]+) screened and ([0-9]+) enrolled', 1) AS s, regexp_extract(text, '([0-9]+) screened and ([0-9]+) enrolled', 2) AS e FROM """ + PLANTED + ") WHERE s <> ''")
+
+@query("SELECT doc_id, s::INT AS screened, e::INT AS enrolled, round((s::DOUBLE - e::DOUBLE) / s::DOUBLE * 100, 1) AS failure_rate FROM " + _all_sql(PLANTED, "doc_id", "text", _SCREENED, "s", "e") + " WHERE s::INT > 0")
 def ex28_screening(spark, d):
-    s, e = (F.regexp_extract("text", r"([0-9]+) screened and ([0-9]+) enrolled", i).try_cast("int") for i in (1, 2))
-    return planted(spark, d).where(s.isNotNull()).select("doc_id", s.alias("screened"), e.alias("enrolled"), F.round((s - e) / s * 100, 1).alias("failure_rate"))
+    """Every pair of screened and enrolled numbers with the share that failed."""
+    hit = _all(planted(spark, d), "doc_id", "text", _SCREENED, "s", "e").select("doc_id", F.col("s").cast("int").alias("screened"), F.col("e").cast("int").alias("enrolled")).where("screened > 0")
+    return hit.withColumn("failure_rate", F.round((F.col("screened") - F.col("enrolled")) / F.col("screened") * 100, 1))
+
+
+_LAB = r"(eGFR|h[a]?emoglobin|creatine kinase|filtration rate|(?:plasma|serum|urine) [a-z]+) (>=|<=|>|<|was|of|below|above|at least) ([0-9]+(?:[.][0-9]+)?)(?: ?(mL/min|mL|g/dL|units|mmol))?"
 
 
-@query(r"""SELECT doc_id, analyte, op, v::DOUBLE AS value, unit FROM (SELECT doc_id, regexp_extract(text, '(eGFR|hemoglobin) (>=|was) ([0-9.]+[0-9]|[0-9]+) ?(mL|g/dL)', 1) AS analyte, regexp_extract(text, '(eGFR|hemoglobin) (>=|was) ([0-9.]+[0-9]|[0-9]+) ?(mL|g/dL)', 2) AS op, regexp_extract(text, '(eGFR|hemoglobin) (>=|was) ([0-9.]+[0-9]|[0-9]+) ?(mL|g/dL)', 3) AS v, regexp_extract(text, '(eGFR|hemoglobin) (>=|was) ([0-9.]+[0-9]|[0-9]+) ?(mL|g/dL)', 4) AS unit FROM """ + PLANTED + ") WHERE analyte <> ''")
+@query("SELECT doc_id, analyte, CASE WHEN op IN ('was', 'of') THEN '=' WHEN op = 'below' THEN '<' WHEN op = 'above' THEN '>' WHEN op = 'at least' THEN '>=' ELSE op END AS op, v::DOUBLE AS value, unit FROM " + _all_sql(PLANTED, "doc_id", "text", _LAB, "analyte", "op", "v", "unit"))
 def ex29_lab_values(spark, d):
-    rx = r"(eGFR|hemoglobin) (>=|was) ([0-9.]+[0-9]|[0-9]+) ?(mL|g/dL)"
-    g = lambda i: F.regexp_extract("text", rx, i)
-    return planted(spark, d).where(g(1) != "").select("doc_id", g(1).alias("analyte"), g(2).alias("op"), g(3).try_cast("double").alias("value"), g(4).alias("unit"))
+    """Every analyte with its comparison, value and unit."""
+    op = F.when(F.col("op").isin("was", "of"), "=").when(F.col("op") == "below", "<").when(F.col("op") == "above", ">").when(F.col("op") == "at least", ">=").otherwise(F.col("op"))
+    return _all(planted(spark, d), "doc_id", "text", _LAB, "analyte", "op", "v", "unit").select("doc_id", "analyte", op.alias("op"), F.col("v").cast("double").alias("value"), "unit")
 
 
 @query(r"""SELECT result_id, i::INT AS part_no, trim(p) AS part, regexp_extract(p, '([0-9.]+) ?(?:mg|g|ug|mcg)', 1) AS dose FROM (SELECT result_id, unnest(range(len(l))) AS i, unnest(l) AS p FROM (SELECT result_id, regexp_split_to_array(source_text, ' because of | for | \(|\) ') AS l FROM zeroshot_results WHERE source_text IS NOT NULL))""")
@@ -151,10 +180,16 @@ def ex30_combination_parts(spark, d):
     return p.select("result_id", "part_no", F.trim("p").alias("part"), F.regexp_extract("p", r"([0-9.]+) ?(?:mg|g|ug|mcg)", 1).alias("dose"))
 
 
-@query(r"""SELECT doc_id, CAST(try_cast(v AS DATE) AS VARCHAR) AS day FROM (SELECT doc_id, regexp_extract(text, '\b([12][0-9]{3}-[01][0-9]-[0-3][0-9])\b', 1) AS v FROM """ + PLANTED + ") WHERE v <> ''")
+_DATE = r"(?:[12][0-9]{3}-[01][0-9]-[0-3][0-9]|[0-3][0-9][.][01][0-9][.][12][0-9]{3})"
+
+
+@query(f"SELECT doc_id, CAST(try_cast(CASE WHEN contains(v, '.') THEN v[7:10] || '-' || v[4:5] || '-' || v[1:2] ELSE v END AS DATE) AS VARCHAR) AS day, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{_DATE}')) AS v FROM {PLANTED}) GROUP BY ALL")
 def ex33_dates(spark, d):
-    v = F.regexp_extract("text", r"\b([12][0-9]{3}-[01][0-9]-[0-3][0-9])\b", 1)
-    return planted(spark, d).where(v != "").select("doc_id", v.try_cast("date").cast("string").alias("day"))
+    """Every date of a text, written with hyphens or dots; impossible ones are null."""
+    v = F.col("v")
+    iso = F.when(v.contains("."), F.concat(F.substring(v, 7, 4), F.lit("-"), F.substring(v, 4, 2), F.lit("-"), F.substring(v, 1, 2))).otherwise(v)
+    hit = planted(spark, d).select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_DATE), F.lit(0))).alias("v"))
+    return hit.groupBy("doc_id", iso.try_cast("date").cast("string").alias("day")).agg(F.count("*").alias("n"))
 
 
 @query(r"""SELECT doc_id, kind, n::INT AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\b(Figure|Table|Exhibit) ([0-9]+)', 1)) AS kind, unnest(regexp_extract_all(text, '\b(Figure|Table|Exhibit) ([0-9]+)', 2)) AS n FROM """ + PLANTED + ")")
@@ -222,10 +257,26 @@ def _terms(spark, d):
     return L.entries(t, "term_id", [F.array("preferred_label"), F.coalesce("synonyms", F.array().cast("array<string>"))])
 
 
-@query()
+_TOK = r"list_filter(string_split_regex(lower({0}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+#: (gram, entry, priority, n) of the list's forms and (doc_id, start, n, entry) of the longest form at each place of a text.
+_LEXICON = f"""f AS (SELECT gram, min(priority || entry)[2:] AS entry, min(priority)::INT AS priority, len(string_split(gram, ' ')) AS n FROM (SELECT term_id AS entry, priority, array_to_string({_TOK.format('form')}, ' ') AS gram
+FROM (SELECT term_id, '0' AS priority, preferred_label AS form FROM term_lexicon UNION ALL SELECT term_id, (unnest(range(len(synonyms))))::VARCHAR, unnest(synonyms) FROM term_lexicon) WHERE form IS NOT NULL) WHERE gram <> '' GROUP BY gram),
+"""
+
+
+def _hits(source: str) -> str:
+    return _LEXICON + f"""d AS (SELECT doc_id, {_TOK.format('text')} AS t FROM ({source}) WHERE text IS NOT NULL),
+g AS (SELECT doc_id, p AS start, z AS n, array_to_string(list_slice(t, p + 1, p + z), ' ') AS gram FROM (SELECT doc_id, t, unnest(range(len(t))) AS p FROM d), (SELECT DISTINCT n AS z FROM f) WHERE p + z <= len(t)),
+h AS (SELECT doc_id, start::INT AS start, n::INT AS n, entry, priority FROM (SELECT g.doc_id, g.start, g.n, f.entry, f.priority, row_number() OVER (PARTITION BY g.doc_id, g.start ORDER BY g.n DESC, f.priority, f.entry) AS r FROM g JOIN f ON f.gram = g.gram) WHERE r = 1)"""
+
+
+@query(f"""WITH RECURSIVE {_hits('SELECT doc_id, text FROM documents')},
+nx AS (SELECT a.doc_id, a.start, min(b.start) AS after FROM h a LEFT JOIN h b ON b.doc_id = a.doc_id AND b.start >= a.start + a.n GROUP BY 1, 2),
+k AS (SELECT doc_id, min(start) AS start FROM h GROUP BY 1 UNION ALL SELECT k.doc_id, nx.after FROM k JOIN nx ON nx.doc_id = k.doc_id AND nx.start = k.start WHERE nx.after IS NOT NULL)
+SELECT h.doc_id, h.start, h.n, h.entry, h.priority FROM k JOIN h ON h.doc_id = k.doc_id AND h.start = k.start""")
 def jn01_dictionary_join(spark, d):
     """Longest, leftmost, non-overlapping lexicon terms in the documents."""
-    return L.longest_leftmost(L.hits(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", broadcast_if_small(_terms(spark, d)), 6), "doc_id")
+    return L.longest_leftmost(L.hits(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", broadcast_if_small(_terms(spark, d))), "doc_id")
 
 
 @query("""SELECT e.entity_id, min(t.term_id) AS term_id FROM ner_entities e JOIN term_lexicon t ON lower(e.text) = lower(t.preferred_label) GROUP BY e.entity_id""")
@@ -235,9 +286,9 @@ def jn03_full_term(spark, d):
     return e.join(broadcast_if_small(t), "k").groupBy("entity_id").agg(F.min("term_id").alias("term_id"))
 
 
-@query()
+@query(f"""WITH {_hits('SELECT doc_id, title AS text FROM documents')}, x AS (SELECT g.doc_id, f.entry, row_number() OVER (PARTITION BY g.doc_id ORDER BY g.n DESC, f.priority, f.entry DESC) AS r FROM g JOIN f ON f.gram = g.gram) SELECT doc_id, entry FROM x WHERE r = 1""")
 def jn04_contained_term(spark, d):
-    return L.contained(table(spark, d, "documents", "doc_id", "title"), "doc_id", "title", broadcast_if_small(_terms(spark, d)), 6)
+    return L.contained(table(spark, d, "documents", "doc_id", "title"), "doc_id", "title", broadcast_if_small(_terms(spark, d)))
 
 
 @query()

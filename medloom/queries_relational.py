@@ -214,7 +214,7 @@ def ag04_entity_dedup(spark, d):
 @query()
 def ag05_absorbed_labels(spark, d):
     """Entity texts that are parts of longer ones of the same document."""
-    return D.absorbed(table(spark, d, "ner_entities", "doc_id", "text"), "doc_id", "text", 6)
+    return D.absorbed(table(spark, d, "ner_entities", "doc_id", "text"), "doc_id", "text")
 
 
 @query("""SELECT doc_id, category, text, span_id FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, category, text ORDER BY coalesce(confidence, -1) DESC, source, span_id) AS r FROM ner_spans WHERE text IS NOT NULL) WHERE r = 1""")
@@ -235,10 +235,17 @@ def ag08_gene_priority(spark, d):
     return D.first_wins(g, ["doc_id", "hgnc_symbol"], [rank, F.desc_nulls_last("initial_confidence"), F.col("candidate_id")]).select("doc_id", "hgnc_symbol", "candidate_id")
 
 
-@query("""SELECT hgnc_symbol, max(full_name) AS full_name, max(locus_type) AS locus_type, max(chromosome) AS chromosome, max(initial_confidence) AS confidence, count(*) AS n FROM gene_candidates WHERE hgnc_symbol IS NOT NULL GROUP BY hgnc_symbol""")
+_BEST = "first_value({0} IGNORE NULLS) OVER (PARTITION BY hgnc_symbol ORDER BY ({0} IS NULL), initial_confidence DESC NULLS LAST, candidate_id)"
+
+
+@query(f"""SELECT hgnc_symbol, full_name, locus_type, chromosome, confidence, n FROM (SELECT hgnc_symbol, {_BEST.format('full_name')} AS full_name, {_BEST.format('locus_type')} AS locus_type, {_BEST.format('chromosome')} AS chromosome,
+max(initial_confidence) OVER (PARTITION BY hgnc_symbol) AS confidence, count(*) OVER (PARTITION BY hgnc_symbol) AS n, row_number() OVER (PARTITION BY hgnc_symbol ORDER BY candidate_id) AS r FROM gene_candidates WHERE hgnc_symbol IS NOT NULL) WHERE r = 1""")
 def ag09_coalesced_merge(spark, d):
-    g = table(spark, d, "gene_candidates").where("hgnc_symbol IS NOT NULL")
-    return g.groupBy("hgnc_symbol").agg(F.max("full_name").alias("full_name"), F.max("locus_type").alias("locus_type"), F.max("chromosome").alias("chromosome"), F.max("initial_confidence").alias("confidence"), F.count("*").alias("n"))
+    """One record per gene: each field from the surest record that has it; one aggregate with map-side combining."""
+    g = table(spark, d, "gene_candidates", "candidate_id", "hgnc_symbol", "full_name", "locus_type", "chromosome", "initial_confidence").where("hgnc_symbol IS NOT NULL")
+    rank = F.struct(F.coalesce("initial_confidence", F.lit(-1.0)), F.negative("candidate_id"))
+    best = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c)
+    return g.groupBy("hgnc_symbol").agg(best("full_name"), best("locus_type"), best("chromosome"), F.max("initial_confidence").alias("confidence"), F.count("*").alias("n"))
 
 
 @query()
@@ -299,9 +306,17 @@ def ag22_repeated_lines(spark, d):
     return m.groupBy("state_id", "k").agg(F.count("*").alias("n"), F.count_distinct("page").alias("on_pages")).where("n >= 3 AND on_pages >= 3")
 
 
-@query("SELECT count(*) AS rows, count_if(status = 'completed') AS completed, count_if(full_text IS NULL) AS without_text, count(DISTINCT doc_id) AS docs, count(*) >= count(DISTINCT doc_id) AS holds FROM pipeline_state")
+@query("""SELECT status, count(*) AS runs, count(DISTINCT doc_id) AS docs, count_if(full_text IS NULL) AS without_text, count_if(status = 'failed' AND full_text IS NOT NULL) AS failed_with_text, count_if(coalesce(finished_at < started_at, false)) AS ended_early,
+count_if(status = 'completed' AND finished_at IS NULL) AS completed_unfinished, count_if(coalesce(page_count, 0) <> len(regexp_extract_all(coalesce(full_text_with_pages, ''), '--- Page [0-9]+ ---')) AND full_text_with_pages IS NOT NULL) AS pages_differ FROM pipeline_state GROUP BY 1""")
 def ag24_run_invariants(spark, d):
-    return table(spark, d, "pipeline_state").agg(F.count("*").alias("rows"), F.count_if(F.col("status") == "completed").alias("completed"), F.count_if(F.col("full_text").isNull()).alias("without_text"), F.count_distinct("doc_id").alias("docs"), (F.count("*") >= F.count_distinct("doc_id")).alias("holds"))
+    """Runs by status, and how many break each invariant."""
+    p = table(spark, d, "pipeline_state", "status", "doc_id", "full_text", "full_text_with_pages", "started_at", "finished_at", "page_count")
+    counted = F.regexp_count(F.coalesce("full_text_with_pages", F.lit("")), F.lit("--- Page [0-9]+ ---"))
+    return p.groupBy("status").agg(
+        F.count("*").alias("runs"), F.count_distinct("doc_id").alias("docs"), F.count_if(F.col("full_text").isNull()).alias("without_text"), F.count_if((F.col("status") == "failed") & F.col("full_text").isNotNull()).alias("failed_with_text"),
+        F.count_if(F.coalesce(F.col("finished_at") < F.col("started_at"), F.lit(False))).alias("ended_early"), F.count_if((F.col("status") == "completed") & F.col("finished_at").isNull()).alias("completed_unfinished"),
+        F.count_if((F.coalesce("page_count", F.lit(0)) != counted) & F.col("full_text_with_pages").isNotNull()).alias("pages_differ"),
+    )
 
 
 @query("SELECT category, entity_type, count(*) AS n, count(DISTINCT lower(text)) AS texts FROM ner_spans GROUP BY ALL")
@@ -385,10 +400,11 @@ def wn08_sessions(spark, d):
     return SP.islands(e.withColumn("new", F.coalesce(gap, F.lit(True))), ["user_id"], ["ts", "event_id"], F.col("new")).groupBy("user_id", F.col("island").cast("bigint").alias("island")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT n_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
+@query("SELECT span_id, doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY category NULLS FIRST, span_start NULLS FIRST, span_end NULLS FIRST, confidence DESC NULLS LAST, lower(text) NULLS FIRST, source NULLS FIRST, span_id) AS place FROM ner_spans")
 def wn13_ordered_output(spark, d):
-    c, n = table(spark, d, "customer", "c_nationkey", "c_acctbal"), table(spark, d, "nation", "n_nationkey", "n_name")
-    return c.join(broadcast_if_small(n), c["c_nationkey"] == n["n_nationkey"]).groupBy("n_name").agg(F.count("*").alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance")).orderBy("n_name")
+    """The place of every mention in its document's output: seven fields decide."""
+    order = W.partitionBy("doc_id").orderBy("category", "span_start", "span_end", F.desc_nulls_last("confidence"), F.lower("text"), "source", "span_id")
+    return table(spark, d, "ner_spans", "span_id", "doc_id", "category", "span_start", "span_end", "confidence", "text", "source").select("span_id", "doc_id", F.row_number().over(order).cast("bigint").alias("place"))
 
 
 @query("SELECT doc_id, left(text, 200) AS start FROM documents ORDER BY doc_id LIMIT 10")

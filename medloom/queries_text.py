@@ -63,14 +63,20 @@ def pr10_mask_digits(spark, d):
     return _spans(spark, d).select("span_id", X.mask_digits(F.col("text")).alias("masked"))
 
 
-@query(r"""SELECT doc_id, substring(text, greatest(strpos(text, '(') - 1 - 40, 0) + 1, (strpos(text, '(') - 1 - greatest(strpos(text, '(') - 1 - 40, 0)) + 1 + 40) AS around FROM """ + PLANTED + """ WHERE strpos(text, '(') > 0""")
+def _places(part: str, source: str) -> str:
+    """(doc_id, text, p) of every place of a part, in SQL."""
+    return f"(SELECT doc_id, text, unnest(list_filter(range(length(text)), lambda i: substr(text, i + 1, {len(part)}) = '{part}')) AS p FROM {source})"
+
+
+@query(f"SELECT doc_id, p::INT AS place, substring(text, (greatest(p - 40, 0) + 1)::INT, (p - greatest(p - 40, 0) + 1 + 40)::INT) AS around FROM {_places('(', PLANTED)}")
 def pr11_context_window(spark, d):
-    at = F.instr("text", "(") - 1
-    return planted(spark, d).where(F.instr("text", "(") > 0).select("doc_id", X.window_around(F.col("text"), at, F.lit(1), 40).alias("around"))
+    """What stands round every opening bracket."""
+    at = planted(spark, d).select("doc_id", "text", F.explode(X.places(F.col("text"), "(")).alias("place"))
+    return at.select("doc_id", "place", X.window_around(F.col("text"), F.col("place"), F.lit(1), 40).alias("around"))
 
 
 @query(r"""SELECT term_id, translate(preferred_label, 'áàâäãåéèêëíìîïóòôöõúùûüñçÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇ', 'aaaaaaeeeeiiiiooooouuuuncAAAAAAEEEEIIIIOOOOOUUUUNC') AS plain,
-regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(preferred_label, '\banemia', 'anaemia', 'g'), '\bedema', 'oedema', 'g'), '\btumor', 'tumour', 'g'), '\bhemo', 'haemo', 'g'), '\bleuk', 'leuk', 'g'), '\besoph', 'oesoph', 'g') AS british FROM term_lexicon""")
+regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(preferred_label, '\banemia', 'anaemia', 'g'), '\bedema', 'oedema', 'g'), '\btumor', 'tumour', 'g'), '\bhemo', 'haemo', 'g'), '\bestrogen', 'oestrogen', 'g'), '\besoph', 'oesoph', 'g') AS british FROM term_lexicon""")
 def pr12_spelling_variants(spark, d):
     c = F.col("preferred_label")
     return table(spark, d, "term_lexicon").select("term_id", X.strip_accents(c).alias("plain"), X.british(c).alias("british"))
@@ -196,10 +202,11 @@ def fl13_context_cues(spark, d):
     return table(spark, d, "gene_candidates").where("context_text IS NOT NULL").select("candidate_id", n.alias("cues"))
 
 
-@query(r"""SELECT doc_id, regexp_matches(substring(text, greatest(p - 100, 0) + 1, p - greatest(p - 100, 0) + 50), 'prevalence|incidence|per million') AS ok FROM (SELECT doc_id, text, strpos(text, '%') - 1 AS p FROM """ + PLANTED + ") WHERE p >= 0")
+@query(f"SELECT doc_id, p::INT AS place, regexp_matches(substring(text, (greatest(p - 100, 0) + 1)::INT, (p - greatest(p - 100, 0) + 50)::INT), 'prevalence|incidence|per million') AS ok FROM {_places('%', PLANTED)}")
 def fl18_anchor_near(spark, d):
-    at = planted(spark, d).withColumn("p", F.instr("text", "%") - 1).where("p >= 0")
-    return at.select("doc_id", P.near(F.col("text"), F.col("p"), "prevalence|incidence|per million").alias("ok"))
+    """Whether an anchor stands near each percentage."""
+    at = planted(spark, d).select("doc_id", "text", F.explode(X.places(F.col("text"), "%")).alias("place"))
+    return at.select("doc_id", "place", P.near(F.col("text"), F.col("place"), "prevalence|incidence|per million").alias("ok"))
 
 
 @query(r"""SELECT doc_id, v, CASE WHEN regexp_matches(v, '^NCT[0-9]{8}$') THEN 'NCT' WHEN regexp_matches(v, '^PMC[0-9]{5,8}$') THEN 'PMCID' WHEN regexp_matches(v, '^[1-9][0-9]{5,8}$') THEN 'PMID' WHEN regexp_matches(v, '^10\.[0-9]{4,9}/[^ ]+$') THEN 'DOI' WHEN regexp_matches(v, '^https?://[A-Za-z0-9.-]+\.[a-z]{2,}(?:/.*)?$') THEN 'URL' END AS kind
@@ -218,12 +225,13 @@ def fl21_person_names(spark, d):
 _WORDS = lambda ws: "(?:^|[^a-z])(?:" + "|".join(ws) + ")(?:[^a-z]|$)"
 
 
-@query(f"""SELECT doc_id, CASE WHEN regexp_matches(b, '{_WORDS(P.FAMILY)}') THEN 'family' WHEN regexp_matches(b, '{_WORDS(P.HYPOTHETICAL)}') THEN 'possible' WHEN regexp_matches(b, '{_WORDS(P.NEGATIONS)}') THEN 'negated' ELSE 'present' END AS status
-FROM (SELECT doc_id, lower(substring(text, greatest(strpos(text, 'syndrome') - 51, 0) + 1, strpos(text, 'syndrome') - 1 - greatest(strpos(text, 'syndrome') - 51, 0))) AS b FROM {PLANTED} WHERE strpos(text, 'syndrome') > 0)""")
+@query(f"""SELECT doc_id, place, CASE WHEN regexp_matches(b, '{P.NO_FAMILY}') THEN 'negated' WHEN regexp_matches(b, '{_WORDS(P.FAMILY)}') THEN 'family' WHEN regexp_matches(b, '{_WORDS(P.HYPOTHETICAL)}') THEN 'possible' WHEN regexp_matches(b, '{_WORDS(P.NEGATIONS)}') THEN 'negated' ELSE 'present' END AS status
+FROM (SELECT doc_id, p::INT AS place, regexp_extract(lower(substring(text, (greatest(p - 50, 0) + 1)::INT, (p - greatest(p - 50, 0))::INT)), '{P.SCOPE}', 1) AS b FROM {_places('syndrome', PLANTED)})""")
 def fl22_assertion(spark, d):
-    at = F.instr("text", "syndrome") - 1
-    before = F.substring(F.col("text"), F.greatest(at - 50, F.lit(0)) + 1, at - F.greatest(at - 50, F.lit(0)))
-    return planted(spark, d).where(F.instr("text", "syndrome") > 0).select("doc_id", P.assertion(before).alias("status"))
+    """The class of every mention of a syndrome by what precedes it in its clause."""
+    at = planted(spark, d).select("doc_id", "text", F.explode(X.places(F.col("text"), "syndrome")).alias("place"))
+    lo = F.greatest(F.col("place") - 50, F.lit(0))
+    return at.select("doc_id", "place", P.assertion(F.substring(F.col("text"), lo + 1, F.col("place") - lo)).alias("status"))
 
 
 @query(r"""SELECT doc_id, block_no, length(regexp_replace(block, '\s', '', 'g')) >= 10 AND 2 * length(regexp_replace(block, '[^A-Za-z]', '', 'g')) < length(regexp_replace(block, '\s', '', 'g')) AS noise FROM """ + BLOCKS)
