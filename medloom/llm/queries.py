@@ -119,8 +119,9 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    """The readable paragraphs of every text."""
-    return paragraphs(table(spark, d, "pipeline_state", "state_id", "full_text_with_pages"), "state_id", "full_text_with_pages").withColumnRenamed("doc", "state_id")
+    """The readable paragraphs of every text; a run without the text with pages gives those of ``full_text``."""
+    texts = table(spark, d, "pipeline_state", "state_id", "full_text_with_pages", "full_text").select("state_id", F.coalesce("full_text_with_pages", "full_text").alias("text"))
+    return paragraphs(texts, "state_id", "text").withColumnRenamed("doc", "state_id")
 
 
 def p9_judged(spark: SparkSession, d: str) -> DataFrame:
