@@ -104,6 +104,42 @@ def test_shared_stretches_link_every_overlap_of_20(spark):
     assert linked(got) == linked(pairs)
 
 
+def stretches_by_hand(rows, n):
+    """{(key, rep)} as the SQL has it: stretches of at least two different keys, null among them, with their first key."""
+    keys = {}
+    for k, t in rows:
+        for j in range(len(t or "") - n + 1):
+            keys.setdefault(t[j : j + n], set()).add(k)
+    return {(k, min(x for x in ks if x is not None)) for ks in keys.values() if len(ks) > 1 for k in ks}
+
+
+def test_stretches_keep_to_the_sql_on_odd_rows(spark):
+    rng = random.Random(11)
+    part = lambda: "".join(rng.choice("ab é𝛽\n") for _ in range(rng.randrange(0, 30)))
+    parts = [part() for _ in range(9)]
+    rows = [(i, rng.choice(parts) + part() + rng.choice(parts)) for i in range(150)] + [(i, part()) for i in range(150)]
+    rows += [(500, "x" * 400), (501, "y" + "x" * 300), (502, "z" * 20), (502, "z" * 20), (None, "q" * 25), (None, "q" * 22), (503, "v" * 19), (504, "v" * 19), (505, None), (506, "")]
+    rows += [(None, "x" * 20), (507, "w" * 30), (None, "w" * 21), (508, "".join(chr(0x100 + i) for i in range(250))), (509, "".join(chr(0x100 + i) for i in range(60, 90)))]
+    df = spark.createDataFrame(rows, "id bigint, t string").repartition(5)
+    for n in (1, 2, 20):
+        want = stretches_by_hand(rows, n)
+        assert {tuple(r) for r in D.firsts_of_stretches(df, "id", "t", n).collect()} == want
+        got = [tuple(r) for r in D.shared_stretches(df, "id", "t", n).collect()]
+        assert len(got) == len(set(got)) and set(got) == {(k, r) for k, r in want if k is not None and k != r}
+    assert D.shared_stretches(df.limit(0), "id", "t", 20).count() == 0
+
+
+def test_context_links_are_never_broadcast(spark, tmp_path):
+    from medloom.queries_relational import QUERIES
+
+    # the estimate of a few hundred bytes doesn't know that each text has 41 stretches
+    rows = [(i, f"{i:030d}{i % 7:030d}") for i in range(20)]
+    spark.createDataFrame(rows, "candidate_id bigint, context_text string").write.parquet(f"{tmp_path}/gene_candidates.parquet")
+    df = QUERIES["jn15_context_links"](spark, str(tmp_path))
+    assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in df.collect()} == {(k, r) for k, r in stretches_by_hand(rows, 20) if k != r}
+
+
 def test_matching_keeps_all_copies_of_a_text(spark):
     rng = random.Random(8)
     names = ["renal failure", "renal failures", "renal failurs", "heart block"]
