@@ -140,6 +140,23 @@ def test_context_links_are_never_broadcast(spark, tmp_path):
     assert {tuple(r) for r in df.collect()} == {(k, r) for k, r in stretches_by_hand(rows, 20) if k != r}
 
 
+def test_shared_contexts_keep_to_the_sql_without_a_broadcast(spark, tmp_path):
+    from medloom.queries_relational import QUERIES
+
+    rng = random.Random(12)
+    parts = ["".join(rng.choice("ab é") for _ in range(rng.randrange(40, 70))) for _ in range(30)]
+    rows = [(i, rng.choice(parts) + rng.choice(parts)) for i in range(80)] + [(80, None), (81, ""), (82, "a" * 59), (83, "a" * 59)]
+    rows += [(90, "one" * 30), (90, "one" * 30), (91, "two" * 30), (None, "two" * 30)]
+    spark.createDataFrame(rows, "candidate_id bigint, context_text string").write.parquet(f"{tmp_path}/gene_candidates.parquet")
+    df = QUERIES["jn15_shared_context"](spark, str(tmp_path))
+    assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    want = {}
+    for k, rep in stretches_by_hand(rows, 60):
+        want[k] = min(rep, want.get(k, rep))
+    got = [tuple(r) for r in df.collect()]
+    assert len(got) == len(want) and dict(got) == want and 90 not in want and want[None] == want[91] == 91
+
+
 def test_matching_keeps_all_copies_of_a_text(spark):
     rng = random.Random(8)
     names = ["renal failure", "renal failures", "renal failurs", "heart block"]
