@@ -129,6 +129,20 @@ def test_stretches_keep_to_the_sql_on_odd_rows(spark):
     assert D.shared_stretches(df.limit(0), "id", "t", 20).count() == 0
 
 
+def test_stretches_of_long_texts_go_in_parts(spark):
+    rng = random.Random(13)
+    long = "".join(rng.choice("abcdefgh é") for _ in range((1 << 19) + 700))
+    rows = [(1, long)] + [(i, long[a : a + 25]) for i, a in enumerate(range((1 << 19) - 40, (1 << 19) + 40, 3), 2)] + [(90, long[-20:]), (91, long[:20]), (92, "no such stretch is in it")]
+    got = {tuple(r) for r in D.shared_stretches(spark.createDataFrame(rows, "id bigint, t string"), "id", "t", 20).collect()}
+    assert got == {(k, r) for k, r in stretches_by_hand(rows, 20) if k != r} and {k for k, _ in got} >= {*range(2, 28), 90, 91}
+
+    import pyarrow as pa
+
+    # each stretch comes once, and no run has more than 64
+    runs = [r for b in D._runs(20)(iter([pa.RecordBatch.from_pydict({"k": [1], "t": [long]})])) for r in b.column(2).to_pylist()]
+    assert sum(len(r) - 19 for r in runs) == len(long) - 19 and max(map(len, runs)) <= 83
+
+
 def test_context_links_are_never_broadcast(spark, tmp_path):
     from medloom.queries_relational import QUERIES
 
