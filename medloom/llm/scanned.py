@@ -17,8 +17,9 @@ corpus writes the word with it.
 
 Every text is read four times as a whole, by Arrow batches: for the lines at
 page edges and the broken words; for counts of words and of asked lines; for
-neighbours; for the words found misread.  Only counts, keys and the lines asked for
-leave a pass.  What a pass asks for is named by a bit filter of bounded size;
+neighbours; for the words found misread.  Different words, lines and
+pairs of a batch are found by Arrow's functions, and only these are looked at
+one by one.  Only counts, keys and the lines asked for leave a pass.  What a pass asks for is named by a bit filter of bounded size;
 what slips through the filter is taken out by an exact join, so the filter
 never decides.  Texts that come again are counted and judged once.
 
@@ -32,11 +33,11 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +61,8 @@ PRIOR = 5
 DEPTH = 3
 #: Most bits of a filter.
 FILTER_BITS = 1 << 26
+#: Bytes of text that a pass takes at a time; a longer text is taken by itself.
+PART_BYTES = 1 << 25
 
 
 def skeleton(word: Column) -> Column:
@@ -79,25 +82,37 @@ _SIDE = re.compile(r"^\d{1,4}\s{2,}(?=\S)|(?<=\S)\s{2,}\d{1,4}$")
 _NUMBER = re.compile(r"(?<!\S)[^\sA-Za-z]*[A-Za-z]?[^\sA-Za-z]*\d[^\sA-Za-z]*(?!\S)")
 
 
-def masked(line: str) -> list[str]:
+class _Masked(dict):
+    """A word's skeleton, or ``#`` for a number; each word is written once."""
+
+    def __missing__(self, word: str) -> str:
+        out = "#" if _NUMBER.fullmatch(word) else word.lower().translate(_ONE)
+        for glyph, strokes in STROKES:
+            out = out.replace(glyph, strokes)
+        self[word] = out
+        return out
+
+
+def masked(line: str, known: _Masked) -> list[str]:
     """Words of a line without its page number at a side, numbers masked, in skeletons."""
-    out = _NUMBER.sub("#", _SIDE.sub("", line.strip())).lower().translate(_ONE)
-    for glyph, strokes in STROKES:
-        out = out.replace(glyph, strokes)
-    return out.split()
+    line = line.strip()
+    if line[:1].isdecimal() or line[-1:].isdecimal():
+        line = _SIDE.sub("", line)
+    return [known[w] for w in line.split()]
 
 
 # --- passes over whole texts ---------------------------------------------
 
 
-def _pass(docs: DataFrame, work: Callable[[list, list], pa.RecordBatch | None], schema: T.StructType) -> DataFrame:
-    """Run ``work(docs, texts)`` on every Arrow batch of (doc, text)."""
+def _pass(docs: DataFrame, work: Callable[[pa.Array, pa.Array], pa.RecordBatch], schema: str) -> DataFrame:
+    """Run ``work(docs, texts)`` on every Arrow batch of (doc, text), in parts of ``PART_BYTES``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = work(b.column(0).to_pylist(), b.column(1).to_pylist())
-            if out is not None:
-                yield out
+            part = np.cumsum(pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64) // PART_BYTES
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), b.num_rows]
+            for i, j in zip(cuts, cuts[1:]):
+                yield work(b.column(0).slice(i, j - i), b.column(1).slice(i, j - i))
 
     return docs.select("doc", "text").mapInArrow(run, schema)
 
@@ -105,7 +120,7 @@ def _pass(docs: DataFrame, work: Callable[[list, list], pa.RecordBatch | None],
 def _batch(schema: str, columns: list) -> pa.RecordBatch:
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}
     fields = [f.split() for f in schema.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, type=kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
+    return pa.RecordBatch.from_arrays([c.cast(kinds[k]) if isinstance(c, pa.Array) else pa.array(c, type=kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
 
 
 def _signed(hashes: list[int]) -> np.ndarray:
@@ -125,8 +140,9 @@ def pages(text: str) -> list[list[tuple[int, str]]]:
     out: list[list[tuple[int, str]]] = [[]]
     here = out[0]
     for i, line in enumerate(text.split("\n"), 1):
-        line = line.rstrip(_BLANK)
         if line and not line.isspace():
+            if line[-1] in _BLANK:
+                line = line.rstrip(_BLANK)
             if line[0] == "-" and _MARK.match(line):
                 here = []
                 out.append(here)
@@ -152,6 +168,18 @@ def _plain(text: str) -> bytes:
 _LONE = re.compile(r"^[\dlI!Oo\s]*\d[\dlI!Oo\s]*$")
 _AS_DIGIT = str.maketrans("lI!Oo", "11100")
 _ENDS = re.compile(rf"[^\W_]{BREAK}$|!{BREAK}$")
+
+
+def _going_on(parted: list[list[tuple[int, str]]], page: int, at: int, depth: int) -> Iterator[tuple[int, str]]:
+    """The lines behind one, up to the first that is further than ``depth`` from a page's edges."""
+    for k in range(page, len(parted)):
+        n = len(parted[k])
+        for i in range(at + 1 if k == page else 0, n):
+            yield parted[k][i]
+            if not k or min(i + 1, n - i) > depth:
+                return
+
+
 EDGE = "doc long, no int, page int, top int, bottom int, key long, tail long, h_key long, h_tail long, lone long, word string, next_no int, next_first string"
 
 
@@ -169,38 +197,32 @@ def edges(docs: DataFrame, depth: int) -> DataFrame:
     those up to the first one that no furniture within ``depth`` reaches.
     """
 
-    def work(ids: list, texts: list) -> pa.RecordBatch:
+    def work(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
         out: list[tuple] = []
         keys: list[int] = []
-        for doc, text in zip(ids, texts):
-            known: dict[str, tuple] = {}
+        known: dict[str, tuple] = {}
+        skeletons = _Masked()
+        for doc, text in zip(ids.to_pylist(), texts.to_pylist()):
             parted = pages(text)
             for page, lines in enumerate(parted[1:], 1):
                 n = len(lines)
                 for i in range(n) if n <= 2 * depth else (*range(depth), *range(n - depth, n)):
                     no, line = lines[i]
                     if line not in known:
-                        words = masked(line)
+                        words = masked(line, skeletons)
                         lone = "".join(line.split()).translate(_AS_DIGIT) if _LONE.match(line) else ""
                         tail = _h(" ".join(words[-2:])) if len(words) > 2 else 0
                         known[line] = (_h("".join(words)), tail, *_plain_keys(_plain(line).strip(_EDGE_BYTES))), int(lone) if lone and len(lone) < 10 else None
                     k, lone = known[line]
                     keys += k
                     out.append((doc, no, page, i + 1, n - i, lone, None, None, None))
-            flat = None
-            at = -1
-            for k, p in enumerate(parted):
-                for i, (no, line) in enumerate(p):
-                    at += 1
+            for k, lines in enumerate(parted):
+                for i, (no, line) in enumerate(lines):
                     if line[-1] in SIGNS and _ENDS.search(line):
-                        if flat is None:
-                            flat = [(m, after, min(j + 1, len(q) - j) if g else depth + 1) for g, q in enumerate(parted) for j, (m, after) in enumerate(q)]
                         last = line.rsplit(None, 1)[-1]
-                        for next_no, after, edge in flat[at + 1 :]:
+                        for next_no, after in _going_on(parted, k, i, depth):
                             keys += (0, 0, 0, 0)
                             out.append((doc, no, None, None, None, None, last, next_no, after.split(None, 1)[0]))
-                            if edge > depth:
-                                break
         doc, no, page, top, bottom, lone, word, next_no, first = zip(*out) if out else [[]] * 9
         k = _signed(keys).reshape(-1, 4)
         return _batch(EDGE, [doc, no, page, top, bottom, k[:, 0], k[:, 1], k[:, 2], k[:, 3], lone, word, next_no, first])
@@ -227,8 +249,9 @@ class Filter:
         return bool(self.bits[p >> 3] >> (p & 7) & 1)
 
     def passed(self, keys: np.ndarray) -> np.ndarray:
+        """Which of the keys pass."""
         p = keys & (self.size - 1)
-        return keys[(np.frombuffer(self.bits, dtype=np.uint8)[p >> 3] >> (p & 7)) & 1 == 1]
+        return (np.frombuffer(self.bits, dtype=np.uint8)[p >> 3] >> (p & 7)) & 1 == 1
 
 
 def _crc(*words: str) -> int:
@@ -240,27 +263,58 @@ def crc(*words: Column) -> Column:
     return F.crc32(F.concat_ws(" ", *words).cast("binary"))
 
 
-#: A word broken at a line's end and the line end.
-_BROKEN = re.compile(rf"{BREAK}[ \t\r]*\n\s*")
+#: A word broken at a line's end and the line end, for RE2; the class behind it is the white space of ``str.split``.
+_BROKEN = rf"{BREAK}[ \t\r]*\n[\t-\r\x1c-\x1f\x{{85}}\p{{Z}}]*"
 COUNT = "token string, line long, n long"
 
 
+def _joined(texts: pa.Array) -> pa.Array:
+    """The texts with each broken word in one, marked by a sign of its own."""
+    return pc.replace_substring_regex(texts, _BROKEN, "\x01")
+
+
+#: White space of ``str.split``: single bytes become blanks by a table, the rest by an expression.
+_TO_BLANK = bytes(32 if c < 128 and chr(c).isspace() else c for c in range(256))
+_WIDE = "[" + "".join(c for c in map(chr, range(128, 0x3001)) if c.isspace()) + "]"
+
+
+def _translated(rows: pa.Array, table: bytes) -> pa.Array:
+    """Rows of an array of its own (not a slice) with their bytes replaced."""
+    valid, ends, data = rows.buffers()
+    return pa.Array.from_buffers(rows.type, len(rows), [valid, ends, pa.py_buffer(data.to_pybytes().translate(table))]) if data else rows
+
+
+def _tokens(rows: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(different words, the word at every place, its row), parted as ``str.split`` does.
+
+    Arrow's own split at white space leaves some of it at a row's end in the last word.
+    """
+    parted = pc.split_pattern(_translated(pc.replace_substring_regex(rows, _WIDE, " "), _TO_BLANK), " ")
+    coded = parted.flatten().dictionary_encode()
+    words, at, row = coded.dictionary, coded.indices.to_numpy(), np.repeat(np.arange(len(parted)), np.diff(parted.offsets.to_numpy()))
+    empty = pc.index(words, "").as_py()  # stands between two blanks and at a row's ends
+    return (words, at, row) if empty < 0 else (words, at[at != empty], row[at != empty])
+
+
 def counts(docs: DataFrame, asked: Filter) -> DataFrame:
     """(token, line, n): how often the texts have each word, not counting broken ones, and each asked line (by its plain keys)."""
 
-    def work(ids: list, texts: list) -> pa.RecordBatch:
-        words: Counter = Counter()
-        lines: list[np.ndarray] = []
-        for text in texts:
-            words.update(_BROKEN.sub("\x01", text).split())
-            keys = []
-            for line in _plain(text).split(b"\n"):
-                line = line.strip(_EDGE_BYTES)
-                if line:
-                    keys += _plain_keys(line)
-            lines.append(asked.passed(_signed(keys)))
-        some, n = np.unique(np.concatenate(lines), return_counts=True) if lines else (np.array([], np.int64), np.array([], np.int64))
-        whole = [(w, c) for w, c in words.items() if "\x01" not in w]
+    def work(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        words, at, _ = _tokens(_joined(texts))
+        whole = [(w, c) for w, c in zip(words.to_pylist(), np.bincount(at, minlength=len(words)).tolist()) if c and "\x01" not in w]
+        lines = _translated(pc.split_pattern(texts, "\n").flatten(), _PLAIN).dictionary_encode()  # many differ in digits only
+        keys: list[int] = []
+        times: list[int] = []
+        for line, n in zip(_plain("\n".join(lines.dictionary.to_pylist())).split(b"\n"), np.bincount(lines.indices.to_numpy()).tolist()):
+            line = line.strip(_EDGE_BYTES)
+            if line:
+                keys += _plain_keys(line)
+                times += (n, n)
+        hashed = _signed(keys)
+        passed = asked.passed(hashed)
+        some, back = np.unique(hashed[passed], return_inverse=True)
+        n = np.zeros(len(some), dtype=np.int64)
+        np.add.at(n, back, np.array(times, dtype=np.int64)[passed])
         return _batch(COUNT, [[w for w, _ in whole] + [None] * len(some), [None] * len(whole) + some.tolist(), [c for _, c in whole] + n.tolist()])
 
     return _pass(docs, work, COUNT)
@@ -285,24 +339,14 @@ NEAR = "a string, b string, n long"
 def neighbours(docs: DataFrame, pairs: Filter, contested: Filter) -> DataFrame:
     """(a, b, n): how often asked pairs stand side by side, and what stands to the left of asked words."""
 
-    def work(ids: list, texts: list) -> pa.RecordBatch:
-        two: Counter = Counter()
-        for text in texts:
-            t = _BROKEN.sub("\x01", text).split()
-            two.update(zip(t, t[1:]))
-        known: dict[str, tuple[str, bool]] = {}
-        out: Counter = Counter()
-        for (x, y), n in two.items():
-            if y not in known:
-                f = _form(y)
-                known[y] = f, _crc(f) in contested
-            if x not in known:
-                f = _form(x)
-                known[x] = f, _crc(f) in contested
-            a, (b, of) = known[x][0], known[y]
-            if of or _crc(a, b) in pairs:
-                out[a, b] += n
-        return _batch(NEAR, [[a for a, _ in out], [b for _, b in out], list(out.values())])
+    def work(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        words, at, row = _tokens(_joined(texts))
+        known: dict[str, int] = {}
+        at = np.array([known.setdefault(_form(w), len(known)) for w in words.to_pylist()], dtype=np.int64)[at]
+        two, n = np.unique((at[:-1] * len(known) + at[1:])[row[:-1] == row[1:]], return_counts=True)
+        forms, of = list(known), [_crc(f) in contested for f in known]
+        out = [(forms[a], forms[b], m) for a, b, m in zip((two // max(1, len(forms))).tolist(), (two % max(1, len(forms))).tolist(), n.tolist()) if of[b] or _crc(forms[a], forms[b]) in pairs]
+        return _batch(NEAR, list(zip(*out)) if out else [[]] * 3)
 
     return _pass(docs, work, NEAR)
 
@@ -313,20 +357,14 @@ SEEN = "doc long, no int, token string, at_start boolean, at_end boolean"
 def seen_tokens(docs: DataFrame, asked: Filter) -> DataFrame:
     """(doc, no, token, at_start, at_end): every asked token with its place in its line."""
 
-    def work(ids: list, texts: list) -> pa.RecordBatch:
-        words: set[str] = set()
-        split = [t.split() for t in texts]
-        for t in split:
-            words.update(t)
-        words = {w for w in words if _crc(w) in asked}
-        out = []
-        for doc, text, t in zip(ids, texts, split):
-            if not words.isdisjoint(t):
-                for no, line in enumerate(text.split("\n"), 1):
-                    t = line.split()
-                    if not words.isdisjoint(t):
-                        out += [(doc, no, w, k == 0, k == len(t) - 1) for k, w in enumerate(t) if w in words]
-        return _batch(SEEN, list(zip(*out)) if out else [[]] * 5)
+    def work(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        lines = pc.split_pattern(texts, "\n")
+        words, at, row = _tokens(lines.flatten())
+        some = np.flatnonzero(np.array([_crc(w) in asked for w in words.to_pylist()], dtype=bool)[at])
+        turn = np.concatenate([[True], row[1:] != row[:-1], [True]])
+        first = lines.offsets.to_numpy()
+        doc = np.searchsorted(first, row[some], side="right") - 1
+        return _batch(SEEN, [ids.take(pa.array(doc)), row[some] - first[doc] + 1, words.take(pa.array(at[some])), turn[:-1][some], turn[1:][some]])
 
     return _pass(docs, work, SEEN)
 
