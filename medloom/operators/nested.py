@@ -5,7 +5,8 @@ object with the positions it has at each level, in one scan and without a
 shuffle;
 ``child_tables`` gives the children themselves with all their scalar fields and
 the parent's surrogate key.  JSON text is first parsed to variants;
-``infer_levels`` merges the schemas of all its rows.
+``json_levels`` finds the fields that hold arrays in one pass over all rows,
+``infer_levels`` merges the schemas of all of them.
 
 Defined results: null arrays, null elements and rows without a key's children
 give no child; null elements keep their position; a lone object in place of an
@@ -15,32 +16,47 @@ of parent and child fields never clash, as a child's fields are prefixed.
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Follows a text within brackets: it is the second value only where the text is one whole value.
+END = "\u0001end"
+
+
 def json_objects(text: Column) -> Column:
     """JSON text as an array of variants; a lone object becomes an array of one.
 
     Null for text that isn't valid JSON as a whole (truncated text, text with
     trailing characters, empty text) and for JSON that is neither.
     """
-    # the parser stops after a first value; inside brackets a second one shows
-    wrapped = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("\n]"))), "$", "array<variant>")
-    return variant_array(F.when(F.size(wrapped) == 1, wrapped[0]))
+    # the parser stops after a first value; bound to a name, it runs once a row
+    parsed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f"\n,{json.dumps(END)}]")))
+    return F.transform(F.array(parsed), lambda v: F.when(F.try_variant_get(v, "$[1]", "string") == END, variant_array(v, "$[0]")))[0]
+
 
+def variant_array(v: Column, path: str = "$") -> Column:
+    lone = F.when(is_object(v, path), F.array(F.try_variant_get(v, path, "variant")))
+    return F.coalesce(F.try_variant_get(v, path, "array<variant>"), lone)
 
-def variant_array(v: Column) -> Column:
-    kind = F.schema_of_variant(v)
-    return F.when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")).when(kind.startswith("OBJECT"), F.array(v))
 
+def is_object(v: Column, path: str = "$") -> Column:
+    # a struct without fields: nothing below the value is read
+    return F.try_variant_get(v, path, "struct<>").isNotNull()
 
-def is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
+def field_array(v: Column, path: tuple[str, ...]) -> Column:
+    """The same of a field; names that can't stand in a variant's path are looked up."""
+    if all(re.fullmatch(r"[^'?]+", f) for f in path):
+        return variant_array(v, "$" + "".join(f"['{f}']" for f in path))
+    return variant_array(reduce(lambda o, f: F.try_element_at(F.try_variant_get(o, "$", "map<string,variant>"), F.lit(f)), path, v))
 
 
 def struct_levels(element: T.StructType) -> dict[tuple[str, ...], dict]:
@@ -58,14 +74,54 @@ def struct_levels(element: T.StructType) -> dict[tuple[str, ...], dict]:
 
 
 def json_levels(df: DataFrame, column: str) -> dict[tuple[str, ...], dict]:
-    """The same of JSON text, from the schema merged over all its rows."""
-
-    def walk(rows: DataFrame) -> dict:
-        repeated = sorted(_merged(rows)[1])
-        below = {f: variant_array(F.try_variant_get("element", f"$['{f}']", "variant")) for f in repeated}
-        return {(f,): walk(rows.select(F.explode(v).alias("element")).where(is_object(F.col("element")))) for f, v in below.items()}
+    """The same of JSON text, from all its rows: the fields that hold an array in any of them.
 
-    return walk(df.select(F.explode(json_objects(F.col(column))).alias("element")).where(is_object(F.col("element"))))
+    One pass: each task sends the paths it found, the driver gets each once.
+    Text that isn't JSON to this reader isn't to the variants' parser either.
+    """
+    paths = df.select(column).where(F.col(column).isNotNull()).mapInArrow(_array_paths(), "path string").distinct().collect()
+    levels: dict[tuple[str, ...], dict] = {(): {}}
+    for path in sorted(tuple(json.loads(r.path)) for r in paths):
+        # below a field that is never an array there are no levels
+        if path[:-1] in levels:
+            levels[path] = levels[path[:-1]][path[-1:]] = {}
+    return levels[()]
+
+
+def _array_paths() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Paths of the fields that hold arrays, as JSON; lone objects count as arrays of one."""
+    # an inner function goes to the workers whole: they needn't have this package
+
+    def paths_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict[str, list] = {}  # field -> [whether it holds an array, the fields below]
+        for batch in batches:
+            for text in batch.column(0):
+                try:
+                    # bytes that aren't UTF-8 are replaced, as the variants' parser does
+                    value = json.loads(str(text.as_buffer(), "utf-8", "replace"), parse_int=float)
+                except (ValueError, RecursionError):
+                    continue
+                todo = [(root, value if isinstance(value, list) else [value])]
+                while todo:
+                    node, elements = todo.pop()
+                    for e in elements:
+                        if not isinstance(e, dict):
+                            continue
+                        for f, v in e.items():
+                            if isinstance(v, (list, dict)):
+                                seen = node.setdefault(f, [False, {}])
+                                seen[0] |= (repeats := isinstance(v, list))
+                                todo.append((seen[1], v if repeats else [v]))
+        paths, todo = [], [((), root)]
+        while todo:
+            above, node = todo.pop()
+            for f, (repeats, below) in node.items():
+                path = (*above, f.encode(errors="replace").decode())
+                paths += [json.dumps(path)] if repeats else []
+                todo.append((path, below))
+        yield pa.RecordBatch.from_pydict({"path": pa.array(paths, pa.string())})
+
+    return paths_of
 
 
 def child_links(df: DataFrame, key: str, column: str, levels: dict | None = None) -> DataFrame:
@@ -74,15 +130,14 @@ def child_links(df: DataFrame, key: str, column: str, levels: dict | None = None
     ``label`` is the dotted path of array fields from ``column`` on, ``path``
     the child's 0-based position at each level from the outermost: with the
     key it is the child's surrogate key, and without its last position its
-    parent's.  Levels are inferred from the schema (of JSON text: merged over
-    all rows) unless given.  One narrow pass: each level's arrays become
+    parent's.  Levels are inferred from the schema (of JSON text: from all
+    rows) unless given.  One narrow pass: each level's arrays become
     arrays of links, which are exploded once.
     """
     kind = df.schema[column].dataType
     if isinstance(kind, T.StringType):
         levels = json_levels(df, column) if levels is None else levels
-        outer, keep = json_objects(F.col(column)), is_object
-        get = lambda e, path: variant_array(F.try_variant_get(e, "$" + "".join(f"['{f}']" for f in path), "variant"))
+        outer, keep, get = json_objects(F.col(column)), is_object, field_array
     else:
         levels = struct_levels(kind.elementType) if levels is None else levels
         outer, keep = F.col(column), lambda e: e.isNotNull()
@@ -178,7 +233,7 @@ def infer_levels(df: DataFrame, key: str, column: str) -> dict[str, DataFrame]:
         out[label] = rows.select("parent_key", "parent_path", "pos", *cols)
         for f in sorted(repeated):
             path = F.when(F.col("parent_path") == "", F.col("pos").cast("string")).otherwise(F.concat_ws(".", "parent_path", "pos"))
-            below = rows.select("parent_key", path.alias("parent_path"), F.posexplode(variant_array(F.try_variant_get("element", f"$['{f}']", "variant"))).alias("pos", "element")).where(is_object(F.col("element")))
+            below = rows.select("parent_key", path.alias("parent_path"), F.posexplode(variant_array(F.col("element"), f"$['{f}']")).alias("pos", "element")).where(is_object(F.col("element")))
             walk(below, f"{label}.{f}")
 
     top = df.select(F.col(key).alias("parent_key"), F.lit("").alias("parent_path"), F.posexplode(json_objects(F.col(column))).alias("pos", "element")).where(is_object(F.col("element")))

@@ -1,6 +1,6 @@
 import json
 
-from medloom.operators.nested import child_links, child_tables, infer_levels
+from medloom.operators.nested import child_links, child_tables, infer_levels, json_levels
 
 
 def links(spark, texts, levels=None):
@@ -60,3 +60,36 @@ def test_child_tables_have_the_rows_that_p6_found_lists(spark):
     for kind, name in (("identifier", "p6_candidate_identifiers"), ("gene_identifier", "p6_gene_identifiers"), ("gene_disease", "p6_gene_diseases")):
         t = q[name](spark, d)
         assert t.count() == listed.get(kind, 0) > 0 and any(c.startswith("f_") for c in t.columns)
+
+
+def test_levels_take_one_pass_whatever_their_number(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    # a field that is an array in one row only, fields of lone objects, an array below one that never repeats
+    records = [[{"a": {"b": {"c": [{"d": []}]}}}], {"a": [{"b": [None]}]}, [{"s": {"n": [1]}, "a": None}], [{"a": [{"b": {"c": 3}}]}]]
+    df = spark.createDataFrame([(json.dumps(r),) for r in records], "j string").repartition(3).mapInArrow(counted, "j string")
+    assert json_levels(df, "j") == {("a",): {("b",): {("c",): {("d",): {}}}}}
+    assert read.value == len(records)
+
+
+def test_text_that_closes_the_bracket_is_no_json(spark):
+    assert links(spark, ['{"a":1}] tail', '[{"a":[{"b":1}]}],[0]', '{"a":1},null', '{"a":1},', '{"a":1}\n']) == [(4, "j", (0,))]
+
+
+def test_fields_of_any_name_are_levels(spark):
+    names = ["a,b: c", "it's", "who?", "", 'q"', "`x`", "$[0]", "a.b"]
+    got = links(spark, [json.dumps({n: [{"k": 1}, None, {"k": [{}]}]}) for n in names])
+    assert got == sorted(x for i, n in enumerate(names) for x in ((i, "j", (0,)), (i, f"j.{n}", (0, 0)), (i, f"j.{n}", (0, 2)), (i, f"j.{n}.k", (0, 2, 0))))
+
+
+def test_levels_of_deep_and_broken_text(spark):
+    deep = '{"a":' * 990 + "[]" + "}" * 990
+    df = spark.createDataFrame([(deep,), ("[" * 200_000,), ('[{"b":[],"n":' + "9" * 5000 + "}]",)], "j string")
+    assert json_levels(df, "j") == {("b",): {}}
+    broken = spark.sql("SELECT 1 AS id, CAST(CONCAT(CAST('[{\"w\":\"' AS BINARY), X'ff', CAST('\",\"b\":[{}]}]' AS BINARY)) AS STRING) AS j")
+    assert sorted((r.label, tuple(r.path)) for r in child_links(broken, "id", "j").collect()) == [("j", (0,)), ("j.b", (0, 0))]
